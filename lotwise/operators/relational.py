@@ -75,12 +75,11 @@ def with_text(df: DataFrame, id_col: str, name: str, texts: DataFrame) -> DataFr
 
 
 def with_total(df: DataFrame, keys: Sequence[str], measure: str, label: str = "row_type") -> DataFrame:
-    """Detail rows plus one grand-total row, told apart by ``label``. The total is one small
-    partial aggregation over the rows, so no row is expanded into grouping sets."""
-    total = df.agg(F.sum(measure).alias(measure))
-    blanks = [F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
-    total = total.select(*blanks, measure, F.lit("Total").alias(label))
-    return df.select(*keys, measure, F.lit("Detail").alias(label)).unionByName(total)
+    """Detail rows, one per key, plus one grand-total row, told apart by ``label``. The input is
+    read once; the total is combined per task before it is moved."""
+    sets = [[F.col(k) for k in keys], []]
+    both = df.groupingSets(sets, *keys).agg(F.sum(measure).alias(measure), F.grouping_id().alias(label))
+    return both.withColumn(label, F.when(F.col(label) == 0, "Detail").otherwise("Total"))
 
 
 def ordered(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:

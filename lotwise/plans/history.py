@@ -310,7 +310,9 @@ def repair_records(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryP
         .join(new_lot, "new_grn_id", "left")
     )
     if p.legacy_grn_labels:
-        replacements = replacements.withColumnsRenamed({"old_grn": "new_grn", "new_grn": "old_grn"})
+        replacements = replacements.select(
+            "repair_id", "old_grn_id", "new_grn_id", F.col("new_grn").alias("old_grn"), F.col("old_grn").alias("new_grn")
+        )
     analysed = analyses.select(
         F.col("analysis_wip_id").alias("wip_id"), F.col("analysis_process_id").alias("process_id"), "analysis_id"
     )

@@ -12,6 +12,7 @@ import tempfile
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lotwise.sources.star_recipes import RECIPES
 from lotwise.sources.tables import Tables
@@ -36,7 +37,7 @@ SPARK_FORM = {
     """
 }
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 _scratch: dict[str, str] = {}
 
 
@@ -63,8 +64,9 @@ def _splits(spark: SparkSession, sf_dir: str) -> int:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").rdd.getNumPartitions()
 
 
-def derive(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Write one derived table, and those it reads, unless this application has done so."""
+def derive(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructType]:
+    """Write one derived table, and those it reads, unless this application has done so. Returns
+    its folder and schema, so that reading it needs no look into the files."""
     app = spark.sparkContext.applicationId
     key = (app, sf_dir, name)
     if key not in _written:
@@ -72,21 +74,26 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> str:
         session = spark.newSession()
         session.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
         for n in needs(name):
-            path = f"{sf_dir}/{n}.parquet" if n in STAR else derive(spark, sf_dir, n)
-            session.read.parquet(path).createOrReplaceTempView(n)
+            if n in STAR:
+                df = session.read.parquet(f"{sf_dir}/{n}.parquet")
+            else:
+                path, schema = derive(spark, sf_dir, n)
+                df = session.read.schema(schema).parquet(path)
+            df.createOrReplaceTempView(n)
         path = f"{shared_folder(spark)}/{zlib.crc32(sf_dir.encode()):08x}/{name}"
         rows = session.sql(SPARK_FORM.get(name, RECIPES[name]))
         if name in LARGE:
             # At least one file per core, so that small scale factors are read in parallel too.
             rows = rows.repartition(max(_splits(spark, sf_dir), spark.sparkContext.defaultParallelism))
         rows.write.mode("overwrite").parquet(path)
-        _written[key] = path
+        _written[key] = (path, rows.schema)
     return _written[key]
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def load(name: str) -> DataFrame:
-        return spark.read.parquet(derive(spark, sf_dir, name)).drop(*HELPERS)
+        path, schema = derive(spark, sf_dir, name)
+        return spark.read.schema(schema).parquet(path).drop(*HELPERS)
 
     def known(name: str) -> DataFrame:
         if name not in RECIPES:
