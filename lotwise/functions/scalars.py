@@ -70,7 +70,7 @@ def split_values(c: Column | str, kind: type = str, separator: str = ",") -> Col
 
     Blank entries are skipped; entries that are not numbers raise for ``int`` as a cast would.
     """
-    parts = F.filter(F.transform(F.split(_col(c), separator, -1), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(_col(c), separator, -1), lambda p: F.trim(p)), lambda p: p != "")
     return F.transform(parts, lambda p: p.cast("bigint")) if kind is int else parts
 
 

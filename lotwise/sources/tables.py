@@ -101,10 +101,3 @@ class Tables:
 
 # Text columns that are compared with other text.
 KEY_TEXTS = {"crd", "serial_number", "material", "vendor", "mpn", "grn", "test_status", "component_type"}
-
-
-def empty_tables(spark: SparkSession, **rows) -> Tables:
-    """All tables with their declared schema, filled with the given row tuples."""
-    return Tables.of(
-        {name: spark.createDataFrame(rows.get(name, []), struct(ddl)) for name, ddl in TABLES.items()}
-    )

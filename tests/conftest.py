@@ -13,9 +13,20 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, "lotwise-tests")
+    return local_session(8, "lotwise-tests", **{"spark.sql.shuffle.partitions": "4"})
 
 
 @pytest.fixture(scope="session")
 def star(spark):
     return star_tables(spark, SMALL)
+
+
+@pytest.fixture(scope="module")
+def interpreted(spark):
+    """Compiling a plan takes longer than running it on a handful of rows."""
+    off = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    yield
+    for k in off:
+        spark.conf.unset(k)

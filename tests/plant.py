@@ -2,6 +2,26 @@
 
 import datetime as dt
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from lotwise.sources.schemas import TABLES, struct
+from lotwise.sources.tables import Tables
+
+
+def empty_tables(spark, **rows):
+    """All tables with their declared schema, filled with the given row tuples. Arrow input stays
+    a local relation, so a tiny plan starts no job per table."""
+
+    def frame(name, ddl):
+        schema = struct(ddl)
+        given = rows.get(name, [])
+        arrow = to_arrow_schema(schema)
+        columns = [pa.array([r[i] for r in given], f.type) for i, f in enumerate(arrow)]
+        return spark.createDataFrame(pa.table(columns, schema=arrow), schema)
+
+    return Tables.of({name: frame(name, ddl) for name, ddl in TABLES.items()})
+
 
 def at(text):
     return None if text is None else dt.datetime.fromisoformat(text if " " in text else f"2025-01-08 {text}:00")

@@ -2,12 +2,12 @@ import datetime as dt
 import random
 
 import pytest
-from plant import plant
+from plant import empty_tables, plant
 
 from lotwise.operators.relational import rank_latest_load, top1
 from lotwise.plans import consumption as cons
 from lotwise.plans import trace
-from lotwise.sources.tables import Tables, empty_tables
+from lotwise.sources.tables import Tables
 
 DAY = (dt.date(2025, 1, 8), dt.date(2025, 1, 9))
 
@@ -144,3 +144,6 @@ def test_edge_normalisation(spark):
     rows = spark.createDataFrame([(1, "sn1  ", 68, 0)], "wip_id long, serial_number string, customer_id int, rma int")
     t = Tables.of({"wp_wip": rows}, rtrim=True, upper_keys=True)
     assert t["wp_wip"].first()["serial_number"] == "SN1"
+
+
+pytestmark = pytest.mark.usefixtures("interpreted")

@@ -1,8 +1,7 @@
 import pytest
-from plant import DIMENSIONS, at
+from plant import DIMENSIONS, at, empty_tables
 
 from lotwise.plans import history as h
-from lotwise.sources.tables import empty_tables
 
 PARAMS = dict(start="2025-01-08", end="2025-01-09")
 
@@ -130,3 +129,6 @@ def test_staged_and_timed(spark, tmp_path):
     ]
     n, audit = h.timed_history(t, p, h.Mode.ALL, 5, lambda df: df.count())
     assert n == 2 and audit["user_id"] == 5 and audit["start"] <= audit["end"]
+
+
+pytestmark = pytest.mark.usefixtures("interpreted")
