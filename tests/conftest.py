@@ -23,10 +23,15 @@ def star(spark):
 
 @pytest.fixture(scope="module")
 def interpreted(spark):
-    """Compiling a plan takes longer than running it on a handful of rows."""
-    off = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    """Compiling and replanning a plan takes longer than running it on a handful of rows."""
+    off = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.adaptive.enabled": "false",
+    }
     for k, v in off.items():
         spark.conf.set(k, v)
     yield
     for k in off:
         spark.conf.unset(k)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -123,11 +123,9 @@ def test_trace_lists_all_lots_of_all_days(spark):
 
 
 def test_counting_per_lot_first_changes_nothing(star):
-    days = (dt.date(2025, 1, 8), dt.date(2025, 1, 10))
-    for merge in (False, True):
-        direct = cons.consumed_qty(cons.consumed_detail(star, *days), merge)
-        early = cons.consumed_qty_of_days(star, *days, merge_unknown=merge).select(*direct.columns)
-        assert direct.exceptAll(early).isEmpty() and early.exceptAll(direct).isEmpty()
+    direct = cons.consumed_qty(cons.consumed_detail(star, *DAY)).collect()
+    early = cons.consumed_qty_of_days(star, *DAY).collect()
+    assert sorted(map(str, direct)) == sorted(map(str, early))
 
 
 def test_latest_load_is_rank_one(star, spark):
