@@ -46,7 +46,9 @@ class Tables:
         options = kw.pop("options", {})
 
         def load(name: str) -> DataFrame:
-            reader = spark.read.format("jdbc").options(url=url, dbtable=name, **options)
+            reader = spark.read.format("jdbc").options(
+                url=url, dbtable=name, preferTimestampNTZ=True, **options
+            )
             if name in partitions:
                 column, lower, upper, n = partitions[name]
                 reader = reader.options(
@@ -84,11 +86,15 @@ class Tables:
             return self.table(view).select(key).distinct()
 
     def _edge(self, df: DataFrame) -> DataFrame:
-        if not (self._rtrim or self._upper_keys):
+        zoned = any(isinstance(f.dataType, T.TimestampType) for f in df.schema)
+        if not (zoned or self._rtrim or self._upper_keys):
             return df
 
         def clean(f: T.StructField):
             c = F.col(f.name)
+            if isinstance(f.dataType, T.TimestampType):
+                # The model has plant-local times without zone.
+                c = c.cast("timestamp_ntz")
             if isinstance(f.dataType, T.StringType):
                 if self._rtrim:
                     c = F.rtrim(c)

@@ -144,4 +144,10 @@ def test_edge_normalisation(spark):
     assert t["wp_wip"].first()["serial_number"] == "SN1"
 
 
+def test_zoned_times_become_local(spark):
+    rows = spark.sql("SELECT 1L AS wip_id, TIMESTAMP '2025-01-08 10:00:00' AS start_time")
+    t = Tables.of({"wp_wip_route_steps": rows})
+    assert t["wp_wip_route_steps"].schema["start_time"].dataType.simpleString() == "timestamp_ntz"
+
+
 pytestmark = pytest.mark.usefixtures("interpreted")
