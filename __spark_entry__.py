@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -181,14 +183,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["daily_dppm_report"](spark, "/root/testdata/sf0.001")
 
 
+def _text_operators() -> list:
+    """The module with further queries, if the optional subpackage is there; errors inside it are raised."""
+    if importlib.util.find_spec("lotwise.llm") is None:
+        return []
+    return [importlib.import_module("lotwise.llm.queries")]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(plan):
         return lambda spark, sf_dir: widened(plan(star_tables(spark, sf_dir)))
 
-    return {name: bound(plan) for name, plan in PLANS.items()}
+    found = {name: bound(plan) for name, plan in PLANS.items()}
+    for module in _text_operators():
+        found |= module.queries()
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.statements import statements
 
-    return statements()
+    found = statements()
+    for module in _text_operators():
+        found |= module.oracle_sql()
+    return found
