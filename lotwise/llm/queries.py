@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import exact_dedup, license_scan, mixing, oracle
+from lotwise.llm import bpe, exact_dedup, license_scan, mixing, oracle, quality_rules, rule_ensemble, toxicity
 from lotwise.llm.tables import table
 
 #: Weights of sources in the mix; all others weigh DEFAULT_WEIGHT.
 WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 0.5}
 DEFAULT_WEIGHT = 1.0
 SEED = 17
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,15 +25,41 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = rule_ensemble.learn_quality_rules(docs, table(spark, sf_dir, "labels"))
+    return rule_ensemble.score_quality(docs, rules)
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), WEIGHTS, DEFAULT_WEIGHT, seed=SEED)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_rules.learn_quality_trees(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.apply_quality_rules(docs, forest)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_license_scan": op2_license_scan,
+        "op3_quality_rule_ensemble": op3_quality_rule_ensemble,
         "op4_source_mixing": op4_source_mixing,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_bpe": op8_bpe,
+        "op10_toxicity": op10_toxicity,
     }
 
 
