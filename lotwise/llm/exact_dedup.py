@@ -15,13 +15,17 @@ MOST_BITS = 2**32
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, digest): SHA-256 of the text after replacing each run of blanks by one space; null counts as empty."""
+    """(id, row, digest) of each row, which has a number of its own."""
     return docs.select(F.monotonically_increasing_id().alias("row"), *_identity(id_col, text_col))
 
 
 def _identity(id_col: str, text_col: str) -> list[Column]:
-    digest = F.unhex(F.sha2(F.regexp_replace(text_or_empty(text_col), BLANKS, " "), 256))
-    return [F.col(id_col).alias("id"), digest.alias("digest")]
+    return [F.col(id_col).alias("id"), digest_of(text_col).alias("digest")]
+
+
+def digest_of(text_col: str) -> Column:
+    """SHA-256 of the text after replacing each run of blanks by one space; null counts as empty."""
+    return F.unhex(F.sha2(F.regexp_replace(text_or_empty(text_col), BLANKS, " "), 256))
 
 
 class RepeatFilter:

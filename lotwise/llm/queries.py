@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import bpe, exact_dedup, license_scan, mixing, oracle, quality_rules, rule_ensemble, toxicity
+from lotwise.llm import (
+    bpe,
+    exact_dedup,
+    license_scan,
+    mixing,
+    near_dedup,
+    oracle,
+    quality_rules,
+    rule_ensemble,
+    substring_dedup,
+    toxicity,
+)
 from lotwise.llm.tables import table
 
 #: Weights of sources in the mix; all others weigh DEFAULT_WEIGHT.
@@ -35,6 +46,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), WEIGHTS, DEFAULT_WEIGHT, seed=SEED)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = quality_rules.learn_quality_trees(docs, table(spark, sf_dir, "labels"))
@@ -45,6 +60,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -57,8 +76,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op3_quality_rule_ensemble": op3_quality_rule_ensemble,
         "op4_source_mixing": op4_source_mixing,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_bpe": op8_bpe,
+        "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_toxicity": op10_toxicity,
     }
 

@@ -68,13 +68,13 @@ def with_bit(rows: DataFrame, slot: str, bitmap: DataFrame, name: str) -> DataFr
 
 
 def look_up(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
-    """Inner join of ``rows`` with the one row per key of ``groups``, where few keys may hold most rows.
+    """Inner join of ``rows`` with ``groups``, where few keys may hold most rows.
 
     ``size`` is the column of ``groups`` with the number of rows of the key. Keys above HEAVY_SHARE of all
     rows, so 1000 at most, are broadcast and their rows stay where they are; the others are shuffled by key.
     Both inputs are read twice: pass checkpointed ones.
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
+    total = groups.groupBy(key).agg(F.max(size).alias("n")).agg(F.sum("n")).first()[0] or 0
     limit = max(1000.0, total * HEAVY_SHARE)
     heavy = F.broadcast(groups.filter(F.col(size) > limit))
     light = groups.filter(F.col(size) <= limit)
