@@ -5,38 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.tables import checkpointed, look_up
+from lotwise.llm.tables import checkpointed
 
 
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """(u, least, n): the smallest neighbour of each u, and the number of neighbours."""
-    return checkpointed(pairs.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("n")))
+def _with_nearest(pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) with the smallest v of their u. Both inputs of the join are written, so that Spark can split the
+    rows of a node with very many links."""
+    return pairs.join(checkpointed(pairs.groupBy("u").agg(F.min("v").alias("least"))), "u")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for all nodes in the links (a, b); the label is the smallest node of the component.
 
     Alternates two steps until nothing changes: each node links its larger neighbours to the smallest of its
-    neighbours and itself, then its smaller ones and itself. Nodes with very many links are looked up by broadcast.
+    neighbours and itself, then its smaller ones and itself.
     """
     current = checkpointed(links.select("a", "b").filter("a != b").distinct())
-    if current.isEmpty():
-        return current.select(F.col("a").alias("node"), F.col("b").alias("label"))
     state = None
     while True:
-        both = current.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        both = checkpointed(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        least = F.least("u", "least")
-        large = look_up(both, _nearest(both), "u", "n").filter("v > u").select(F.col("v").alias("u"), least.alias("v"))
-        large = checkpointed(large.distinct())
-        small = look_up(large, _nearest(large), "u", "n")
-        small = small.select(F.col("v").alias("a"), F.col("least").alias("b")).unionByName(
-            small.select(F.col("u").alias("a"), F.col("least").alias("b"))
-        )
-        current = checkpointed(small.filter("a != b").distinct())
         found = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == state:
-            return current.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "node").unionByName(
-                current.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
-            )
+        if found == state or not found[0]:
+            labelled = current.select(F.col("a").alias("node"), F.col("b").alias("label"))
+            return labelled.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         state = found
+        both = current.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("p")).select("p.u", "p.v")
+        large = _with_nearest(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
+        small = _with_nearest(checkpointed(large.distinct()))
+        ends = F.explode(F.array("u", "v")).alias("a")
+        current = checkpointed(small.select(ends, F.col("least").alias("b")).filter("a != b").distinct())

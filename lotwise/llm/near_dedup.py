@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.components import components
 from lotwise.llm.exact_dedup import digest_of, digests
-from lotwise.llm.tables import bitmap_size, bitmap_table, checkpointed, look_up, text_or_empty, with_bit
+from lotwise.llm.tables import bitmap_size, bitmap_table, checkpointed, text_or_empty, with_bit
 from lotwise.llm.words import Words, groups, mixed, spans_hash
 
 #: Words in a shingle. One that occurs n times in a text weighs 1 + ln n there, so that a line repeated many times does
@@ -160,78 +160,71 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     slot = F.pmod("bucket", F.lit(bits)).alias("slot")
     shared = checkpointed(bitmap_table(sizes.select(slot), "slot"))
     kept = with_bit(every.withColumn("slot", slot), "slot", shared, "shared").filter("shared").select("bucket", "node")
-    return checkpointed(look_up(checkpointed(kept), sizes, "bucket", "n"))
+    return checkpointed(checkpointed(kept).join(sizes, "bucket"))
 
 
-def _round(members: DataFrame, labels: DataFrame, done: DataFrame | None, parts: int) -> DataFrame | None:
+def _round(members: DataFrame, labels: DataFrame, parts: int) -> DataFrame | None:
     """Pairs (node, center) to compare next: in each bucket with several classes, its texts with its centers of other
     classes. The bucket's texts are dealt into ``parts``, and the most typical one of each part is a center; in a
-    bucket of up to SMALL * parts texts all are. None if no bucket has several classes."""
+    bucket of up to SMALL * parts texts all are. None if no bucket has several classes.
+
+    Inputs of joins by bucket are written, so that Spark can split the rows of a bucket with very many texts.
+    """
     known = members.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
     known = checkpointed(known)
-    several = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.max("n").alias("size"))
-    several = checkpointed(several.filter("lo != hi").select("bucket", "size"))
+    several = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    several = checkpointed(several.filter("lo != hi").select("bucket"))
     if several.isEmpty():
         return None
-    left = checkpointed(look_up(known, several, "bucket", "size").drop("size"))
     every = F.col("n") <= SMALL * parts
     part = F.when(every, F.xxhash64("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(parts)))
-    centers = left.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("score", "node", "class")).alias("c"), F.max("n").alias("size"))
-    centers = centers.select("bucket", "size", F.col("c.node").alias("center"), F.col("c.class").alias("center_class"))
-    pairs = look_up(left, checkpointed(centers), "bucket", "size").filter("class != center_class")
+    typical = F.max(F.struct("score", "node", "class")).alias("c")
+    centers = known.join(several, "bucket").groupBy("bucket", part.alias("part")).agg(typical)
+    centers = checkpointed(centers.select("bucket", F.col("c.node").alias("center"), F.col("c.class").alias("center_class")))
+    pairs = known.join(centers, "bucket").filter("class != center_class")
     # In a bucket where all are centers each pair would come twice.
-    pairs = pairs.filter(~every | (F.col("node") < F.col("center"))).select("node", "center").distinct()
-    return pairs if done is None else pairs.join(done, ["node", "center"], "left_anti")
+    return pairs.filter(~every | (F.col("node") < F.col("center"))).select("node", "center").distinct()
 
 
-def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """(node, center, similar) for the pairs, by the exact similarity of their bags (node, bag)."""
-    pairs = checkpointed(pairs)
-    often = pairs.groupBy("center").agg(F.count("*").alias("n"))
-    of_center = checkpointed(often.join(bags.withColumnsRenamed({"node": "center", "bag": "other"}), "center"))
-    both = look_up(pairs, of_center, "center", "n").drop("n").join(bags, "node")
+def _links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) out of (node, center) whose bags (node, bag) are similar."""
+    of_center = bags.withColumnsRenamed({"node": "center", "bag": "other"})
+    both = checkpointed(pairs).join(of_center, "center").join(bags, "node").select("node", "center", "bag", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bag = lambda b: np.frombuffer(b.as_buffer(), np.uint64)
         for batch in batches:
             same = [similarity(bag(a), bag(b)) >= SIMILAR for a, b in zip(batch.column("bag"), batch.column("other"), strict=True)]
-            columns = [batch.column("node"), batch.column("center"), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "center", "similar"])
+            pair = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("center")], ["a", "b"])
+            yield pair.filter(pa.array(same, pa.bool_()))
 
-    return checkpointed(both.select("node", "center", "bag", "other").mapInArrow(run, "node binary, center binary, similar boolean"))
+    return checkpointed(both.mapInArrow(run, "a binary, b binary"))
 
 
 def linked_nodes(rows: DataFrame) -> DataFrame:
     """(node, label) of the texts (node, text) that have a near copy; equal labels are the connected ones.
 
     Compares in rounds. After each the links' components are the classes, and buckets whose texts are all of one
-    class are done. The typical texts of a bucket are those that share large buckets in other bands too, as the
-    origin of many near copies does. As their number grows, in the end all pairs of different classes in a bucket
-    have been compared: no link is lost, and no pair within a class need be.
+    class are done, as are those in which all pairs have been compared. The typical texts of a bucket are those that
+    share large buckets in other bands too, as the origin of many near copies does. As their number grows, in the end
+    all pairs of different classes in a bucket have been compared: no link is lost, and no pair within a class need be.
     """
     members = shared_buckets(rows)
-    typical = members.groupBy("node").agg(F.sum(F.log2("n")).alias("score"))
-    members = checkpointed(members.join(typical, "node"))
-    nodes = members.select("node").distinct()
+    members = checkpointed(members.join(members.groupBy("node").agg(F.sum(F.log2("n")).alias("score")), "node"))
+    nodes = checkpointed(members.select("node").distinct())
     bits = bitmap_size(nodes.count(), BITS_PER_KEY, MOST_BITS)
     slot = F.pmod(F.xxhash64("node"), F.lit(bits)).alias("slot")
-    wanted = checkpointed(bitmap_table(nodes.select(slot), "slot"))
+    wanted = bitmap_table(nodes.select(slot), "slot")
     some = with_bit(rows.withColumn("slot", slot), "slot", wanted, "wanted").filter("wanted")
     bags = checkpointed(_by_text(some, "bag", "binary", _bags))
-    largest = members.agg(F.max("n")).first()[0] or 0
-    labels = members.select("node", F.col("node").alias("label")).limit(0)
-    links, done, parts = None, None, 1
-    while True:
-        pairs = _round(members, labels, done, parts)
-        if pairs is not None:
-            found = _compared(pairs, bags)
-            done = found.select("node", "center") if done is None else done.unionByName(found.select("node", "center"))
-            new = found.filter("similar").select(F.col("node").alias("a"), F.col("center").alias("b"))
-            links = new if links is None else links.unionByName(new)
-            labels = checkpointed(components(links))
-        if pairs is None or largest <= SMALL * parts:
-            return labels
+    labels = nodes.select("node", F.col("node").alias("label")).limit(0)
+    links, parts = labels.select(F.col("node").alias("a"), F.col("label").alias("b")), 1
+    while (pairs := _round(members, labels, parts)) is not None:
+        links = links.unionByName(_links(pairs, bags))
+        labels = checkpointed(components(links))
+        members = members.filter(F.col("n") > SMALL * parts)
         parts *= MORE
+    return labels
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,9 +243,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     labels = linked_nodes(rows)
     named = texts.withColumn("node", F.substring("digest", 1, 16)).join(labels, "node", "left")
     named = checkpointed(named.select("digest", "keep", "n", F.coalesce("label", "node").alias("label")))
-    classes = named.groupBy("label").agg(F.min("keep").alias("kept"), F.sum("n").alias("size"), F.count("*").alias("texts"))
-    known = look_up(named, checkpointed(classes), "label", "texts").select("digest", "n", "kept", "size")
-    found = look_up(every, checkpointed(known), "digest", "n")
+    classes = named.groupBy("label").agg(F.min("keep").alias("kept"), F.sum("n").alias("size"))
+    known = checkpointed(named.join(checkpointed(classes), "label").select("digest", "kept", "size"))
+    found = every.join(known, "digest")
     return found.select(
         F.col("id").alias(id_col),
         F.col("kept.id").alias("class_id"),
