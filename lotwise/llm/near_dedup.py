@@ -125,16 +125,16 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _by_text(rows: DataFrame, name: str, kind: str, make) -> DataFrame:
-    """(node, name): what ``make`` gives for the texts, once for each node."""
+    """(digest, name): what ``make`` gives for the texts, once for each digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in groups(batch.column("text")):
                 w = Words(batch.column("text")[lo:hi])
-                yield pa.RecordBatch.from_arrays([batch.column("node")[lo:hi], make(w)], ["node", name])
+                yield pa.RecordBatch.from_arrays([batch.column("digest")[lo:hi], make(w)], ["digest", name])
 
-    made = rows.select("node", "text").mapInArrow(run, f"node binary, {name} {kind}")
-    return made.groupBy("node").agg(F.first(name).alias(name))
+    made = rows.select("digest", "text").mapInArrow(run, f"digest binary, {name} {kind}")
+    return made.groupBy("digest").agg(F.first(name).alias(name))
 
 
 def _buckets(w: Words) -> pa.Array:
@@ -151,14 +151,14 @@ def _bags(w: Words) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), w.n, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), held])
 
 
-def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node, n) of all buckets with n >= 2 texts. Rows of other buckets are not moved: a filter finds them."""
-    found = checkpointed(_by_text(rows, "buckets", "array<long>", _buckets))
-    every = found.select("node", F.explode("buckets").alias("bucket"))
+def shared_buckets(texts: DataFrame) -> DataFrame:
+    """(bucket, node, n) of all buckets with n >= 2 of the texts (node, buckets). Rows of other buckets aren't moved: a
+    filter finds them."""
+    every = texts.select("node", F.explode("buckets").alias("bucket"))
     sizes = checkpointed(every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     bits = bitmap_size(sizes.count(), BITS_PER_KEY, MOST_BITS)
     slot = F.pmod("bucket", F.lit(bits)).alias("slot")
-    shared = checkpointed(bitmap_table(sizes.select(slot), "slot"))
+    shared = bitmap_table(sizes.select(slot), "slot")
     kept = with_bit(every.withColumn("slot", slot), "slot", shared, "shared").filter("shared").select("bucket", "node")
     return checkpointed(checkpointed(kept).join(sizes, "bucket"))
 
@@ -198,25 +198,27 @@ def _links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             pair = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("center")], ["a", "b"])
             yield pair.filter(pa.array(same, pa.bool_()))
 
-    return checkpointed(both.mapInArrow(run, "a binary, b binary"))
+    return checkpointed(both.mapInArrow(run, "a long, b long"))
 
 
-def linked_nodes(rows: DataFrame) -> DataFrame:
-    """(node, label) of the texts (node, text) that have a near copy; equal labels are the connected ones.
+def linked_texts(rows: DataFrame) -> DataFrame:
+    """(digest, label) of the texts (digest, text) that share a bucket with another; linked ones have equal labels.
 
     Compares in rounds. After each the links' components are the classes, and buckets whose texts are all of one
     class are done, as are those in which all pairs have been compared. The typical texts of a bucket are those that
     share large buckets in other bands too, as the origin of many near copies does. As their number grows, in the end
     all pairs of different classes in a bucket have been compared: no link is lost, and no pair within a class need be.
     """
-    members = shared_buckets(rows)
-    members = checkpointed(members.join(members.groupBy("node").agg(F.sum(F.log2("n")).alias("score")), "node"))
-    nodes = checkpointed(members.select("node").distinct())
+    texts = _by_text(rows, "buckets", "array<long>", _buckets).withColumn("node", F.monotonically_increasing_id())
+    texts = checkpointed(texts)
+    members = shared_buckets(texts)
+    typical = checkpointed(members.groupBy("node").agg(F.sum(F.log2("n")).alias("score")))
+    members = checkpointed(members.join(typical, "node"))
+    nodes = checkpointed(texts.select("node", "digest").join(typical.select("node"), "node"))
     bits = bitmap_size(nodes.count(), BITS_PER_KEY, MOST_BITS)
-    slot = F.pmod(F.xxhash64("node"), F.lit(bits)).alias("slot")
-    wanted = bitmap_table(nodes.select(slot), "slot")
-    some = with_bit(rows.withColumn("slot", slot), "slot", wanted, "wanted").filter("wanted")
-    bags = checkpointed(_by_text(some, "bag", "binary", _bags))
+    slot = F.pmod(F.xxhash64("digest"), F.lit(bits)).alias("slot")
+    some = with_bit(rows.withColumn("slot", slot), "slot", bitmap_table(nodes.select(slot), "slot"), "wanted").filter("wanted")
+    bags = checkpointed(_by_text(some, "bag", "binary", _bags).join(nodes, "digest").select("node", "bag"))
     labels = nodes.select("node", F.col("node").alias("label")).limit(0)
     links, parts = labels.select(F.col("node").alias("a"), F.col("label").alias("b")), 1
     while (pairs := _round(members, labels, parts)) is not None:
@@ -224,7 +226,7 @@ def linked_nodes(rows: DataFrame) -> DataFrame:
         labels = checkpointed(components(links))
         members = members.filter(F.col("n") > SMALL * parts)
         parts *= MORE
-    return labels
+    return nodes.join(labels, "node").select("digest", "label")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,19 +238,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     larger than all others). Null counts as empty; texts without words are linked to each other only if equal. An
     empty table gives an empty result. Other columns are neither read nor returned.
     """
+    return _grouped(docs, id_col, text_col).select(F.col("id").alias(id_col), "class_id", "class_size", "kept")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``near_groups`` with the column names id and digest."""
     every = checkpointed(digests(docs, id_col, text_col))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     texts = checkpointed(every.groupBy("digest").agg(first.alias("keep"), F.count("*").alias("n")))
-    rows = docs.select(F.substring(digest_of(text_col), 1, 16).alias("node"), text_or_empty(text_col).alias("text"))
-    labels = linked_nodes(rows)
-    named = texts.withColumn("node", F.substring("digest", 1, 16)).join(labels, "node", "left")
-    named = checkpointed(named.select("digest", "keep", "n", F.coalesce("label", "node").alias("label")))
+    rows = docs.select(digest_of(text_col).alias("digest"), text_or_empty(text_col).alias("text"))
+    named = texts.join(linked_texts(rows), "digest", "left")
+    # A text without a link is a class of its own, named by a number below all labels.
+    named = checkpointed(named.withColumn("label", F.coalesce("label", -1 - F.monotonically_increasing_id())))
     classes = named.groupBy("label").agg(F.min("keep").alias("kept"), F.sum("n").alias("size"))
     known = checkpointed(named.join(checkpointed(classes), "label").select("digest", "kept", "size"))
     found = every.join(known, "digest")
     return found.select(
-        F.col("id").alias(id_col),
+        "id",
+        "digest",
         F.col("kept.id").alias("class_id"),
         F.col("size").alias("class_size"),
         (F.col("row") == F.col("kept.row")).alias("kept"),
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns, whatever their names.
+
+    Rows to drop are found by their id and text; of repeated rows that are kept, one stays.
+    """
+    named = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(named, F.col(id_col).alias("id"), digest_of(text_col).alias("digest"))
+    gone = _grouped(docs, id_col, text_col).select("id", "digest", "kept")
+    stays = F.max("kept").alias("stays")
+    # A row that is kept may have a copy with the same id; those ids and texts are looked at as a whole.
+    pairs = gone.groupBy("id", "digest").agg(stays, F.count("*").alias("n")).filter("not stays or n > 1")
+    pairs = pairs.select(F.col("id").alias("p_id"), F.col("digest").alias("p_digest"), "stays")
+    bits = bitmap_size((pairs := checkpointed(pairs)).count(), BITS_PER_KEY, MOST_BITS)
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)).alias("slot")
+    flagged = with_bit(rows.withColumn("slot", slot("digest")), "slot", bitmap_table(pairs.select(slot("p_digest")), "slot"), "maybe")
+    both = flagged.filter("maybe").join(pairs, F.expr("id <=> p_id and digest = p_digest"), "left")
+    once = both.filter("stays").dropDuplicates(["id", "digest"])
+    kept = [flagged.filter("not maybe"), both.filter("stays is null"), once]
+    return kept[0].select("doc").unionByName(kept[1].select("doc")).unionByName(kept[2].select("doc")).select("doc.*")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.llm import (
     bpe,
+    chat_format,
     exact_dedup,
     license_scan,
     mixing,
@@ -46,6 +47,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), WEIGHTS, DEFAULT_WEIGHT, seed=SEED)
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
@@ -71,11 +76,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline  # it imports this module
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_exact_dedup": op1_exact_dedup,
         "op2_license_scan": op2_license_scan,
         "op3_quality_rule_ensemble": op3_quality_rule_ensemble,
         "op4_source_mixing": op4_source_mixing,
+        "op5_chat_format": op5_chat_format,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_bpe": op8_bpe,

@@ -23,17 +23,23 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder that all executors share, and read it from there from now on.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: that in ``spark.checkpoint.dir``. Only a local master may go without; it gets a
+    scratch folder."""
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    folder = sc.getConf().get("spark.checkpoint.dir", "")
+    if not folder and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
-    The folder is the one in ``spark.checkpoint.dir``. Only a local master may go without: it gets a scratch folder.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = sc.getConf().get("spark.checkpoint.dir", "")
-        if not folder and not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-"))
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder, and read it from there from now on."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
