@@ -23,8 +23,11 @@ SIMILAR = 0.8
 ROWS, BANDS = 6, 30
 #: A bucket of up to so many texts has all its texts compared, a larger one at first all with its most typical one.
 SMALL = 32
-#: The number of typical texts grows by this factor from round to round.
-MORE = 8
+#: Texts outside a bucket's largest class that are compared at once, and texts that they are compared with.
+BLOCK, CHUNK = 256, 1024
+#: Registers, of 180, in which signatures must agree before bags are compared. A pair at 0.8 agrees in fewer once in
+#: 40,000 cases, less often than it shares no band.
+AGREEING = 122
 #: Bits per key in filters, and their largest size (128 MB).
 BITS_PER_KEY, MOST_BITS = 16, 2**30
 
@@ -145,10 +148,12 @@ def _buckets(w: Words) -> pa.Array:
 
 
 def _bags(w: Words) -> pa.Array:
+    """Sorted shingles of each text, and the lower halves of its signature's registers."""
     keys, text = shingles(w)
-    ends = np.cumsum(np.bincount(text, minlength=w.n)) * 8
-    held = pa.py_buffer(keys.tobytes())
-    return pa.Array.from_buffers(pa.binary(), w.n, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), held])
+    packed = lambda values, ends: pa.Array.from_buffers(pa.binary(), w.n, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+    held = signatures(*weighted(w), w.n).astype(np.uint32)
+    bags = packed(keys, np.cumsum(np.bincount(text, minlength=w.n)) * 8)
+    return pa.StructArray.from_arrays([bags, packed(held, np.arange(1, w.n + 1) * _REGISTERS * 4)], ["bag", "signature"])
 
 
 def shared_buckets(texts: DataFrame) -> DataFrame:
@@ -160,30 +165,61 @@ def shared_buckets(texts: DataFrame) -> DataFrame:
     slot = F.pmod("bucket", F.lit(bits)).alias("slot")
     shared = bitmap_table(sizes.select(slot), "slot")
     kept = with_bit(every.withColumn("slot", slot), "slot", shared, "shared").filter("shared").select("bucket", "node")
-    return checkpointed(checkpointed(kept).join(sizes, "bucket"))
+    return checkpointed(kept.join(sizes, "bucket"))
 
 
-def _round(members: DataFrame, labels: DataFrame, parts: int) -> DataFrame | None:
-    """Pairs (node, center) to compare next: in each bucket with several classes, its texts with its centers of other
-    classes. The bucket's texts are dealt into ``parts``, and the most typical one of each part is a center; in a
-    bucket of up to SMALL * parts texts all are. None if no bucket has several classes.
+def first_pairs(members: DataFrame, typical: DataFrame) -> DataFrame:
+    """Pairs (node, center) of a bucket: all pairs of a small one; in a larger one, the most typical text and each other.
 
-    Inputs of joins by bucket are written, so that Spark can split the rows of a bucket with very many texts.
+    Centers are written before the join by bucket, so that Spark can split the rows of a bucket with very many texts.
     """
-    known = members.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node")).drop("label")
-    known = checkpointed(known)
-    several = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    several = checkpointed(several.filter("lo != hi").select("bucket"))
-    if several.isEmpty():
+    small = F.col("n") <= SMALL
+    scored = members.join(typical, "node")
+    centers = scored.groupBy("bucket", F.when(small, F.col("node")).alias("one")).agg(F.max(F.struct("score", "node")).alias("c"))
+    pairs = members.join(checkpointed(centers.select("bucket", F.col("c.node").alias("center"))), "bucket")
+    return pairs.filter(F.when(small, F.col("node") < F.col("center")).otherwise(F.col("node") != F.col("center"))).select("node", "center").distinct()
+
+
+def other_links(members: DataFrame, labels: DataFrame, bags: DataFrame) -> DataFrame | None:
+    """Links (a, b) between different classes in buckets too large for all pairs; signatures must agree well first.
+
+    A pair of different classes has a text outside the bucket's largest class. Those are dealt into blocks of about BLOCK
+    and compared with all texts of the bucket, which come in chunks of about CHUNK; so no task gets a whole bucket. None
+    if each of the buckets is of one class.
+    """
+    known = members.filter(F.col("n") > SMALL).join(labels, "node", "left")
+    known = checkpointed(known.withColumn("class", F.coalesce("label", "node")).drop("label"))
+    counts = known.groupBy("bucket", "class").agg(F.count("*").alias("k"), F.max("n").alias("n"))
+    major = counts.groupBy("bucket").agg(F.max(F.struct("k", "class")).alias("m"), F.max("n").alias("size"))
+    major = major.select("bucket", F.col("m.class").alias("major"), F.expr("ceil((size - m.k) / {b})".format(b=BLOCK)).alias("blocks"), F.expr(f"ceil(size / {CHUNK})").alias("chunks"))
+    major = checkpointed(major.filter("blocks > 0"))
+    if major.isEmpty():
         return None
-    every = F.col("n") <= SMALL * parts
-    part = F.when(every, F.xxhash64("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(parts)))
-    typical = F.max(F.struct("score", "node", "class")).alias("c")
-    centers = known.join(several, "bucket").groupBy("bucket", part.alias("part")).agg(typical)
-    centers = checkpointed(centers.select("bucket", F.col("c.node").alias("center"), F.col("c.class").alias("center_class")))
-    pairs = known.join(centers, "bucket").filter("class != center_class")
-    # In a bucket where all are centers each pair would come twice.
-    return pairs.filter(~every | (F.col("node") < F.col("center"))).select("node", "center").distinct()
+    rows = known.join(major, "bucket").join(bags, "node")
+    block, chunk = (F.pmod(F.xxhash64("node", F.lit(k)), F.col(n)) for k, n in enumerate(("blocks", "chunks")))
+    each = lambda n: F.explode(F.expr(f"sequence(0L, {n} - 1)"))
+    columns = ["bucket", "node", "class", "bag", "signature"]
+    apart = rows.filter("class != major").select(*columns, F.lit(True).alias("apart"), block.alias("block"), each("chunks").alias("chunk"))
+    every = rows.select(*columns, F.lit(False).alias("apart"), each("blocks").alias("block"), chunk.alias("chunk"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        apart = table.column("apart").to_numpy()
+        node, label = table.column("node").to_numpy(), table.column("class").to_numpy()
+        flat = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, _REGISTERS)
+        queries, rest = np.flatnonzero(apart), np.flatnonzero(~apart)
+        bags = table.column("bag").to_pylist()
+        bag = lambda i: np.frombuffer(bags[i], np.uint64)
+        links = set()
+        for q in queries:
+            agree = (flat[rest] == flat[q]).sum(1) >= AGREEING
+            for x in rest[agree & (label[rest] != label[q])]:
+                pair = int(min(node[x], node[q])), int(max(node[x], node[q]))
+                if pair not in links and similarity(bag(q), bag(x)) >= SIMILAR:
+                    links.add(pair)
+        return pa.table({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+
+    grouped = apart.unionByName(every).groupBy("bucket", "block", "chunk")
+    return checkpointed(grouped.applyInArrow(compare, "a long, b long").distinct())
 
 
 def _links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -204,28 +240,27 @@ def _links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
 def linked_texts(rows: DataFrame) -> DataFrame:
     """(digest, label) of the texts (digest, text) that share a bucket with another; linked ones have equal labels.
 
-    Compares in rounds. After each the links' components are the classes, and buckets whose texts are all of one
-    class are done, as are those in which all pairs have been compared. The typical texts of a bucket are those that
-    share large buckets in other bands too, as the origin of many near copies does. As their number grows, in the end
-    all pairs of different classes in a bucket have been compared: no link is lost, and no pair within a class need be.
+    First come all pairs of small buckets and, in larger ones, pairs with the most typical text: one that shares large
+    buckets in other bands too, as the origin of many near copies does. The links' components are the classes. What
+    is left are pairs of different classes in large buckets; they are compared by signature first. So no link between
+    classes is lost, and most pairs within a class are never made.
     """
     texts = _by_text(rows, "buckets", "array<long>", _buckets).withColumn("node", F.monotonically_increasing_id())
     texts = checkpointed(texts)
     members = shared_buckets(texts)
     typical = checkpointed(members.groupBy("node").agg(F.sum(F.log2("n")).alias("score")))
-    members = checkpointed(members.join(typical, "node"))
     nodes = checkpointed(texts.select("node", "digest").join(typical.select("node"), "node"))
     bits = bitmap_size(nodes.count(), BITS_PER_KEY, MOST_BITS)
     slot = F.pmod(F.xxhash64("digest"), F.lit(bits)).alias("slot")
     some = with_bit(rows.withColumn("slot", slot), "slot", bitmap_table(nodes.select(slot), "slot"), "wanted").filter("wanted")
-    bags = checkpointed(_by_text(some, "bag", "binary", _bags).join(nodes, "digest").select("node", "bag"))
-    labels = nodes.select("node", F.col("node").alias("label")).limit(0)
-    links, parts = labels.select(F.col("node").alias("a"), F.col("label").alias("b")), 1
-    while (pairs := _round(members, labels, parts)) is not None:
-        links = links.unionByName(_links(pairs, bags))
-        labels = checkpointed(components(links))
-        members = members.filter(F.col("n") > SMALL * parts)
-        parts *= MORE
+    bags = _by_text(some, "made", "struct<bag: binary, signature: binary>", _bags).join(nodes, "digest")
+    bags = checkpointed(bags.select("node", "made.bag", "made.signature"))
+    links = _links(first_pairs(members, typical), bags)
+    labels = checkpointed(components(links))
+    more = other_links(members, labels, bags)
+    if more is not None and not more.isEmpty():
+        labels = checkpointed(components(links.unionByName(more)))
+    labels = nodes.select("node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     return nodes.join(labels, "node").select("digest", "label")
 
 
