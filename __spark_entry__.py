@@ -185,7 +185,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _text_operators() -> list:
     """The module with further queries, if the optional subpackage is there; errors inside it are raised."""
-    if importlib.util.find_spec("lotwise.llm") is None:
+    spec = importlib.util.find_spec("lotwise.llm")
+    if spec is None or spec.origin is None:  # not there, or an empty folder
         return []
     return [importlib.import_module("lotwise.llm.queries")]
 

@@ -22,10 +22,6 @@ PASS, FAIL, ABORT = "P", "F", "A"
 DEFECT_FLAG = "F"
 CORRECT_ANALYSIS = "C"
 
-# Bounds used for an empty analysis date.
-MIN_ANALYSIS_DATE = "1980-01-01 00:00:00"
-MAX_ANALYSIS_DATE = "2099-01-01 00:00:00"
-
 # Language in which test status letters are stored.
 STATUS_LANGUAGE = 0
 

@@ -10,7 +10,7 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.constants import CORRECT_ANALYSIS, DEFECT_FLAG, MAX_ANALYSIS_DATE, MIN_ANALYSIS_DATE
+from lotwise.constants import CORRECT_ANALYSIS, DEFECT_FLAG
 from lotwise.functions import scalars as s
 from lotwise.operators.filters import filter_if, optional_in, optional_not_in, status_in
 from lotwise.operators.quality import require_active_user
@@ -67,10 +67,10 @@ class HistoryParams:
     statuses: Texts = ()
     serial_numbers: Texts = ()
     test_users: Ids = ()
-    loop_begin: int = 0
-    loop_end: int = 2**31 - 1
-    min_process_id: int = 0
-    min_analysis_id: int = 0
+    loop_begin: int | None = None
+    loop_end: int | None = None
+    min_process_id: int | None = None
+    min_analysis_id: int | None = None
     defect_categories: Ids = ()
     defects: Ids = ()
     exclude_defects: Ids = ()
@@ -158,11 +158,10 @@ def test_records(t: Tables, p: HistoryParams) -> DataFrame:
     Without labels each test is one row with ``data_id`` 0. All filters sit on the tests or on a
     dimension before the join; the large joins (units, records) come last and share ``wip_id``.
     """
-    tests = t["qm_test_data"].filter(
-        s.between("start_date_time", s.ntz(p.start), s.ntz(p.end))
-        & s.between("process_loop", p.loop_begin, p.loop_end)
-        & s.at_least("process_id", p.min_process_id)
-    )
+    tests = t["qm_test_data"].filter(s.between("start_date_time", s.ntz(p.start), s.ntz(p.end)))
+    given = p.loop_begin is not None or p.loop_end is not None
+    tests = filter_if(tests, given, s.between_optional("process_loop", p.loop_begin, p.loop_end))
+    tests = filter_if(tests, p.min_process_id is not None, s.between_optional("process_id", p.min_process_id))
     tests = optional_in(tests, "equipment_id", ids(p.equipment), t["cr_equipment"])
     tests = optional_in(tests, "user_id", ids(p.test_users), t["sc_users"])
     tests = status_in(tests, s.as_list(p.statuses), t["qm_test_status"], t["cr_text"])
@@ -250,14 +249,11 @@ def analysis_records(t: Tables, tests: DataFrame, p: HistoryParams) -> DataFrame
     kinds = s.as_list(p.component_types)
     if kinds:
         materials = materials.filter(s.in_list("component_type", kinds))
-    analyses = t["qm_analysis"].filter(
-        s.between(
-            "analysis_date_time",
-            s.ntz(p.analysis_start or MIN_ANALYSIS_DATE),
-            s.ntz(p.analysis_end or MAX_ANALYSIS_DATE),
-        )
-        & s.at_least("analysis_id", p.min_analysis_id)
-    )
+    bounds = [None if d is None else s.ntz(d) for d in (p.analysis_start, p.analysis_end)]
+    # Without bounds only analyses without a date go.
+    analyses = t["qm_analysis"].filter(s.between_optional("analysis_date_time", *bounds))
+    given = p.min_analysis_id is not None
+    analyses = filter_if(analyses, given, s.between_optional("analysis_id", p.min_analysis_id))
     analyses = filter_if(analyses, p.component_defects_only, F.col("material_id") != 0)
     wanted = ids(p.materials)
     if wanted:

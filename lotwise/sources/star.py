@@ -14,6 +14,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lotwise.sources.schemas import LOOKUPS
 from lotwise.sources.star_recipes import RECIPES
 from lotwise.sources.tables import Tables
 
@@ -43,12 +44,14 @@ _scratch: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates: the one the cluster names in ``spark.checkpoint.dir``.
-    Only where none is named (local tests) a scratch folder is made."""
+    Only a local master may go without; it gets a scratch folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if named:
         return f"{named.rstrip('/')}/lotwise-{app}"
     if app not in _scratch:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _scratch[app] = tempfile.mkdtemp(prefix="lotwise-")
         spark.sparkContext.setCheckpointDir(_scratch[app])
     return _scratch[app]
@@ -95,9 +98,4 @@ def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
         path, schema = derive(spark, sf_dir, name)
         return spark.read.schema(schema).parquet(path).drop(*HELPERS)
 
-    def known(name: str) -> DataFrame:
-        if name not in RECIPES:
-            raise KeyError(name)
-        return load(name)
-
-    return Tables(known)
+    return Tables(load, absent=[name for name in LOOKUPS if name not in RECIPES])

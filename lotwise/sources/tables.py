@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,22 @@ class Tables:
     ``rtrim`` and ``upper_keys`` bring the text of sources that compare without case and
     trailing blanks to one form when a table is read, so that every later comparison is a plain
     binary one and keeps its Parquet pushdown.
+
+    ``absent`` names the lookup tables that the source doesn't have; the keys of their view stand in
+    for them. Any other table that can't be read is an error.
     """
 
-    def __init__(self, load: Callable[[str], DataFrame], rtrim: bool = False, upper_keys: bool = False):
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        rtrim: bool = False,
+        upper_keys: bool = False,
+        absent: Collection[str] = (),
+    ):
+        if unknown := set(absent) - set(LOOKUPS):
+            raise ValueError(f"only lookup tables can be absent, not {sorted(unknown)}")
         self._load = load
+        self._absent = frozenset(absent)
         self._rtrim = rtrim
         self._upper_keys = upper_keys
         self._seen: dict[str, DataFrame] = {}
@@ -67,8 +79,9 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._seen:
-            if name in LOOKUPS:
-                df = self._lookup(name)
+            if name in self._absent:
+                view, key = LOOKUPS[name]
+                df = self.table(view).select(key).distinct()
             else:
                 df = self._load(name)
             self._seen[name] = self._edge(df)
@@ -76,15 +89,6 @@ class Tables:
 
     __getitem__ = table
 
-    def _lookup(self, name: str) -> DataFrame:
-        view, key = LOOKUPS[name]
-        try:
-            df = self._load(name)
-            df.schema  # noqa: B018  (resolves the table, so a missing one is noticed here)
-            return df
-        except Exception:
-            return self.table(view).select(key).distinct()
-
     def _edge(self, df: DataFrame) -> DataFrame:
         zoned = any(isinstance(f.dataType, T.TimestampType) for f in df.schema)
         if not (zoned or self._rtrim or self._upper_keys):

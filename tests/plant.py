@@ -5,7 +5,7 @@ import datetime as dt
 import pyarrow as pa
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lotwise.sources.schemas import TABLES, struct
+from lotwise.sources.schemas import LOOKUPS, TABLES, struct
 from lotwise.sources.tables import Tables
 
 
@@ -20,7 +20,7 @@ def empty_tables(spark, **rows):
         columns = [pa.array([r[i] for r in given], f.type) for i, f in enumerate(arrow)]
         return spark.createDataFrame(pa.table(columns, schema=arrow), schema)
 
-    return Tables.of({name: frame(name, ddl) for name, ddl in TABLES.items()})
+    return Tables.of({name: frame(name, ddl) for name, ddl in TABLES.items()}, absent=[n for n in LOOKUPS if n not in TABLES])
 
 
 def at(text):

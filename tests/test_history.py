@@ -1,6 +1,8 @@
 import pytest
 from plant import DIMENSIONS, at, empty_tables
 
+from lotwise.sources.schemas import LOOKUPS
+from lotwise.sources.tables import Tables
 from lotwise.plans import history as h
 
 PARAMS = dict(start="2025-01-08", end="2025-01-09")
@@ -132,3 +134,13 @@ def test_staged_and_timed(spark, tmp_path):
 
 
 pytestmark = pytest.mark.usefixtures("interpreted")
+
+
+def test_unreadable_lookup_is_an_error():
+    def load(name):
+        raise PermissionError(name)
+
+    with pytest.raises(PermissionError):
+        Tables(load)[next(iter(LOOKUPS))]
+    with pytest.raises(ValueError):
+        Tables(load, absent=["wp_wip"])

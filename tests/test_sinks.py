@@ -25,6 +25,14 @@ def test_history_of_days(spark, tmp_path):
     assert sinks.drop_expired(spark, path, AS_OF) == []
 
 
+def test_day_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "history")
+    day, other = dt.date(2025, 1, 8), dt.date(2025, 1, 7)
+    sinks.write_daily(report_rows(spark, day, other), path)
+    sinks.write_daily(report_rows(spark, day).limit(0), path, days=[day])
+    assert [r[0] for r in spark.read.parquet(path).select("start_date").collect()] == [other]
+
+
 def test_audit(spark, tmp_path):
     path = str(tmp_path / "audit")
     for _ in range(2):
