@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotwise.constants import EQUIPMENT_SETUP, REPLACEMENT, REPORT_CUSTOMERS, ROUTE_STEP_SETUP
 from lotwise.functions.scalars import DateLike, as_date, in_list, in_window, keep_part, or_unknown, strip_prefix
-from lotwise.operators.intervals import TimeGrid, active_within, time_grid
+from lotwise.operators.intervals import TimeGrid, active_within, is_edge, matches, time_grid
 from lotwise.operators.relational import count_by, latest_load, union_bag
 from lotwise.sources.tables import Tables
 
@@ -168,11 +168,17 @@ def setups_of_steps(t: Tables, steps: DataFrame, routes: Sequence[LoadRoute] = L
 
 
 def loads_by_block(t: Tables, grid: TimeGrid, routes: Sequence[LoadRoute] = LOAD_ROUTES) -> DataFrame:
-    """Loads of known lots that touch the grid, one row per time block they cover."""
+    """Loads of known lots that touch the grid, one row per time block they cover. The times of the
+    load stand in ``since`` and ``removal_time`` at edges only, where they are compared."""
     loads = union_bag(*[r.load_history(t).filter(active_within("load_time", "removal_time", grid)) for r in routes])
     loads = loads.join(known_lots(t), "grn_id", "left_semi")
     return grid.covering(loads, "load_time", "removal_time").select(
-        "branch", "setup_id", "slot", "block", "load_time", "grn_id"
+        *BLOCK_KEYS,
+        "slot",
+        "load_time",
+        "grn_id",
+        F.when(is_edge(), F.col("load_time")).alias("since"),
+        F.when(is_edge(), F.col("removal_time")).alias("removal_time"),
     )
 
 
@@ -182,18 +188,20 @@ def loaded_positions(
     """Lot at each position of each unit: the latest load that was on at the start or the end of
     one of the unit's steps of the day. Positions replaced later are left out. None if no steps.
 
-    Per block only the latest load is kept, before the steps see it. A replacement applies to a
-    whole position, so dropping replaced positions after the choice equals dropping them before.
+    Per block only the latest load is kept, at edges the latest of equal times, and gets its positions
+    before the steps see it, so that steps are shuffled by block only. A replacement applies to a whole
+    position, so dropping replaced positions after the choice equals dropping them before.
     """
     grid = time_grid(steps, STEP_TIMES)
     if grid is None:
         return None
-    best = latest_load(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot"])
+    positions = union_bag(*[r.slot_positions(t) for r in routes])
+    best = latest_load(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot", "since", "removal_time"])
+    best = best.join(positions, ["setup_id", "slot", "branch"]).drop("slot")
     looks = grid.enclosing(setups_of_steps(t, steps, routes), STEP_TIMES).select(
-        "branch", "setup_id", "block", "run_date", "wip_id", "serial_number"
+        *BLOCK_KEYS, *STEP_TIMES, "run_date", "wip_id", "serial_number"
     )
-    positions = union_bag(*[r.slot_positions(t) for r in routes])
-    on = looks.join(best, BLOCK_KEYS).join(positions, ["setup_id", "slot", "branch"])
+    on = looks.join(best, BLOCK_KEYS).filter(matches(STEP_TIMES, "since", "removal_time"))
     return latest_load(on, POSITION_KEYS).join(replaced_positions(t), ["wip_id", "crd"], "left_anti")
 
 
