@@ -9,7 +9,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.tables import CHUNK_BITS, bitmap_size, bitmap_table, checkpointed, look_up, text_or_empty, with_bit
@@ -26,7 +26,7 @@ PIECE = WINDOW - GRAM + 1
 BITS_PER_GRAM, MOST_BITS = 16, 2**28
 #: Words in the pieces of one automaton, about; only pieces of one gram are never parted.
 SHARD_WORDS = 20_000
-#: A gram with more pieces than this, and than a thousandth of all, has them cut into single windows.
+#: A gram with more different pieces than this has them cut into single windows, whatever the size of the input.
 HEAVY_PIECES = 2_000
 
 
@@ -258,18 +258,33 @@ def _matched(held: list[tuple[str, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, (_, k) in enumerate(kinds)], [n for n, _ in kinds])
 
 
+def _slot(bits: int) -> Column:
+    return F.pmod("gram", F.lit(bits)).alias("slot")
+
+
+def _by_weight(pieces: DataFrame, heavy: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Pieces that stay whole, and those to be cut: of heavy grams, and of the few others that share a slot with one.
+
+    Which it is follows from the gram alone, so all places of a window go the same way. Pieces stay where they are.
+    """
+    flagged = with_bit(pieces.withColumn("slot", _slot(bits)), "slot", heavy, "heavy").drop("slot")
+    return flagged.filter("not heavy").drop("heavy"), flagged.filter("heavy").drop("heavy")
+
+
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """(id, mark, runs): where repeated windows stand, as (first word, mask of the windows from there on)."""
     spans = checkpointed(suspect_spans(rows, *gram_filter(repeated_grams(rows))))
     pieces = span_pieces(spans)
     unique = checkpointed(pieces.groupBy("gram", "text").agg(F.count("*").alias("n")))
-    limit = max(HEAVY_PIECES, unique.count() // 1000)
-    # A thousand grams at most.
-    heavy = F.broadcast(checkpointed(unique.groupBy("gram").count().filter(F.col("count") > limit).select("gram")))
-    whole = unique.join(heavy, "gram", "left_anti").select(F.col("gram").alias("shard"), "text", "n")
-    cut = single_windows(unique.join(heavy, "gram")).groupBy("text").agg(F.sum("n").alias("n"))
-    matched = checkpointed(match_pieces(whole.unionByName(cut.select(F.xxhash64("text").alias("shard"), "text", "n"))))
-    places = pieces.join(heavy, "gram", "left_anti").unionByName(single_windows(pieces.join(heavy, "gram")))
+    many = checkpointed(unique.groupBy("gram").count().filter(F.col("count") > HEAVY_PIECES).select("gram"))
+    bits = bitmap_size(many.count(), BITS_PER_GRAM, MOST_BITS)
+    heavy = checkpointed(bitmap_table(many.select(_slot(bits)), "slot"))
+    whole, cut = _by_weight(unique, heavy, bits)
+    windows = single_windows(cut).groupBy("text").agg(F.sum("n").alias("n"))
+    shards = whole.select(F.col("gram").alias("shard"), "text", "n")
+    matched = checkpointed(match_pieces(shards.unionByName(windows.select(F.xxhash64("text").alias("shard"), "text", "n"))))
+    whole, cut = _by_weight(pieces, heavy, bits)
+    places = whole.unionByName(single_windows(cut))
     places = checkpointed(places.select("id", "mark", "first", F.unhex(F.md5("text")).alias("piece")))
     found = look_up(places, matched, "piece", "n")
     return found.groupBy("id", "mark").agg(F.collect_set(F.struct("first", "mask")).alias("runs"))

@@ -148,6 +148,25 @@ def test_substring_dedup(spark, docs, name, monkeypatch):
     assert got == sorted(brute_windows(rows), key=str)
 
 
+def test_pieces_in_one_automaton_do_not_grow_with_the_input(spark, monkeypatch):
+    """Thousands of pieces, and many grams with a few more of them than HEAVY_PIECES."""
+    monkeypatch.setattr(substring_dedup, "HEAVY_PIECES", 2)
+    largest = []
+
+    def spy(pieces, match=substring_dedup.match_pieces):
+        largest.append(pieces.groupBy("shard").count().agg(F.max("count")).first()[0])
+        return match(pieces)
+
+    monkeypatch.setattr(substring_dedup, "match_pieces", spy)
+    around = lambda side, p, k: " ".join(f"{side}{p}_{k}_{i}" for i in range(12))
+    rows = [(p, k, " ".join(f"p{p}_{i}" for i in range(25))) for p in range(900) for k in range(3 + p % 7)]
+    texts = [f"{around('l', p, k)} {phrase} {around('r', p, k)}" for p, k, phrase in rows]
+    docs = spark.createDataFrame(list(enumerate(texts + texts[:9])), "doc_id long, text string")
+    got = sorted(map(tuple, substring_dedup.remove_repeated(docs).collect()), key=str)
+    assert got == sorted(brute_windows([tuple(r) for r in docs.collect()]), key=str)
+    assert largest == [2]
+
+
 def test_substring_dedup_of_nothing(empty):
     assert substring_dedup.removal_digests(empty).count() == 0
 
