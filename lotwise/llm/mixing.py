@@ -11,6 +11,9 @@ from lotwise.llm.tables import checkpointed, look_up
 
 #: Up to so many sources, the table of their rates (about 1 KB each) is broadcast.
 BROADCAST_SOURCES = 100_000
+#: Up to this rate a source's Poisson distribution is made once (115 numbers at most); above it each row counts its own
+#: number, which takes time in proportion to the copies that it gives.
+TABLED_RATE = 25.0
 #: Hexadecimal digits of a hash that make a uniform number: 52 bits, exact in a double.
 DIGITS = 13
 
@@ -24,7 +27,8 @@ def _hashed(*parts: Column) -> Column:
 def source_rates(
     docs: DataFrame, weights: Mapping[str, float], default_weight: float, size: int | None, source_col: str = "source"
 ) -> DataFrame:
-    """(mix_source, n, rate, cdf): documents and mean repetitions of a document of each source, and the Poisson distribution of that mean.
+    """(mix_source, n, rate, cdf): documents and mean repetitions of a document of each source, and the Poisson distribution of that mean
+    (null above TABLED_RATE).
 
     The rate is weight / sum of weights * size / documents of the source; ``size`` is that of the input if not given.
     Only sources that occur share the weights. A null source is a source of its own.
@@ -39,7 +43,9 @@ def source_rates(
     counts = counts.withColumn("weight", weight)
     total, rows = counts.agg(F.sum("weight"), F.sum("n")).first()
     rate = F.col("weight") / F.lit(float(total or 1)) * F.lit(float(rows or 0) if size is None else float(size)) / F.col("n")
-    return counts.select("mix_source", "n", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate")))
+    return counts.select("mix_source", "n", rate.alias("rate")).withColumn(
+        "cdf", F.when(F.col("rate") <= TABLED_RATE, poisson_cdf(F.col("rate")))
+    )
 
 
 def _rated(rows: DataFrame, rates: DataFrame) -> DataFrame:
@@ -48,10 +54,15 @@ def _rated(rows: DataFrame, rates: DataFrame) -> DataFrame:
     return look_up(rows, rates, "mix_source", "n")
 
 
+def _last(rate: Column) -> Column:
+    """From here on P(X <= k) is 1 in double precision."""
+    return F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
+
+
 def poisson_cdf(rate: Column) -> Column:
     """P(X <= k) for k = 0, 1, ... up to where it is 1 in double precision. Terms are made from logarithms, so that
     large means don't underflow. A mean of 0 gives [1.0]."""
-    ks = F.sequence(F.lit(1), F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int"))
+    ks = F.sequence(F.lit(1), _last(rate))
     zero = F.struct(F.lit(0.0).alias("log_fact"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
 
     def step(acc: Column, k: Column) -> Column:
@@ -67,6 +78,19 @@ def copies_of(cdf: Column, uniform: Column) -> Column:
     return F.size(F.filter(cdf, lambda c: c <= uniform))
 
 
+def poisson_number(rate: Column, uniform: Column) -> Column:
+    """``copies_of(poisson_cdf(rate), uniform)`` for a mean above 0, from the same terms without holding them."""
+    below = lambda total: F.when(total <= uniform, 1).otherwise(0)
+    zero = F.struct(F.lit(0.0).alias("log_fact"), F.exp(-rate).alias("sum"), below(F.exp(-rate)).alias("n"))
+
+    def step(acc: Column, k: Column) -> Column:
+        log_fact = acc["log_fact"] + F.log(k.cast("double"))
+        total = acc["sum"] + F.exp(k * F.log(rate) - rate - log_fact)
+        return F.struct(log_fact.alias("log_fact"), total.alias("sum"), (acc["n"] + below(total)).alias("n"))
+
+    return F.aggregate(F.sequence(F.lit(1), _last(rate)), zero, step, lambda acc: acc["n"])
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Mapping[str, float],
@@ -88,9 +112,11 @@ def mix_sources(
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"))
     doc_id, source = F.col("doc")[id_col], F.coalesce(F.col("doc")[source_col].cast("string"), F.lit("\u0000"))
     uniform = _hashed(F.lit(seed), doc_id) / F.lit(float(16**DIGITS))
+    tabled = F.col("cdf").isNotNull()
+    copies = F.when(tabled, copies_of(F.col("cdf"), uniform)).otherwise(poisson_number(F.col("rate"), uniform))
     numbered = (
         _rated(rows.withColumn("mix_source", source), rates)
-        .select("doc", copies_of(F.col("cdf"), uniform).alias("copies"))
+        .select("doc", copies.alias("copies"))
         .filter("copies > 0")
         .select("doc", F.explode(F.expr("sequence(1, copies)")).alias("copy_no"))
         .withColumn("mix_key", _hashed(F.lit(seed), F.col("doc")[id_col], F.col("copy_no")))

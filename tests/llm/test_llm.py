@@ -119,6 +119,17 @@ def test_poisson_of_large_mean(spark):
     assert abs(mean - 900) < 0.5 and abs(deviation - 30) < 0.5
 
 
+def test_rates_of_rare_sources_stay_small(spark):
+    """A source of two documents with a mean of 500 copies gets no distribution, and the same numbers as with one."""
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2, "rare").otherwise("hot").alias("source"))
+    rates = mixing.source_rates(rows, {}, 1.0, None)
+    assert rates.agg(F.sum(F.size("cdf"))).first()[0] < 120 and rates.agg(F.max("rate")).first()[0] == 500
+    n = {r["doc_id"]: r["n"] for r in mixing.mix_sources(rows, {}, seed=3).filter("source = 'rare'").groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    uniform = mixing._hashed(F.lit(3), F.col("id")) / F.lit(float(16**mixing.DIGITS))
+    want = spark.range(2).select("id", mixing.copies_of(mixing.poisson_cdf(F.lit(500.0)), uniform).alias("n"))
+    assert n == {r["id"]: r["n"] for r in want.collect()}
+
+
 def brute_windows(rows, size=substring_dedup.WINDOW):
     split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
     count = Counter(" ".join(w[i : i + size]) for w in split for i in range(len(w) - size + 1))
