@@ -35,6 +35,10 @@ dummkopf abschaum dreckskerl arschloch trottel
 imbécile ordure crétin salaud connard
 idiota estúpido imbécil escoria basura
 """.split()
+#: Lengths in bytes of the insults, which are looked for at the beginning of obfuscated words too.
+SEED_SIZES = sorted({len(w.encode()) for w in INSULTS})
+#: Lengths in bytes of words that are looked for in runs of single letters.
+SPACED = range(4, 17)
 #: Pronouns of the second person in English, German, French and Spanish.
 SECOND_PERSON = """
 you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton vous votre ti tú usted ustedes vosotros
@@ -118,6 +122,63 @@ def token_counts(column: pa.Array, toxic: np.ndarray, fold: np.ndarray) -> dict[
     return {"key": keys.view(np.int64)} | {f"{n}_{f}": count(v, f) for n, v in (("toxic", 1), ("clean", 0)) for f in (0, 1)}
 
 
+def hidden_words(t: Tokens, start: np.ndarray, end: np.ndarray, lexicon: Lexicon, seeds: np.ndarray) -> np.ndarray:
+    """Which blank-separated words, each with a letter in it, read as or begin with a known word in disguise.
+
+    Signs are read as letters and anything else is left out. Punctuation at either end is read as signs or left out, as
+    'mor0n!' and '$tupid' need. What matches must hold more than plain letters.
+    """
+    leet = _LEET[t.data]
+    reads = _LETTER[leet]
+    at, place = np.flatnonzero(reads), np.concatenate([[0], np.cumsum(reads)])
+    spans = Spans(leet[reads])
+    other = np.concatenate([[0], np.cumsum(~_LETTER[t.data])])
+    disguised = lambda p, q: other[at[q - 1] + 1] > other[at[p]]
+    maybe = np.flatnonzero(disguised(place[start], place[end]))
+    start, end = start[maybe], end[maybe]
+    solid = ~_PUNCT[t.raw]
+    solid_at, n_solid = np.flatnonzero(solid), np.concatenate([[0], np.cumsum(solid)])
+    inner_start, inner_end = solid_at[n_solid[start]], solid_at[n_solid[end] - 1] + 1
+    hit = np.zeros(len(maybe), bool)
+    for lo, hi in ((start, end), (start, inner_end), (inner_start, end), (inner_start, inner_end)):
+        p, q = place[lo], place[hi]
+        whole = spans.hash(p, q)
+        hit |= ((lexicon.of(whole) > 0) | np.isin(whole, seeds)) & disguised(p, q)
+        for n in sorted({*BEGINNINGS, *SEED_SIZES}):
+            cut = np.minimum(p + n, q)
+            begins = spans.hash(p, cut)
+            known = np.isin(begins, seeds)
+            if n in BEGINNINGS:
+                known |= lexicon.of(begins ^ np.uint64(n)) > 0
+            hit |= known & (q - p > n) & disguised(p, cut)
+    return maybe[hit]
+
+
+def spaced_words(
+    t: Tokens, start: np.ndarray, end: np.ndarray, text: np.ndarray, lexicon: Lexicon, seeds: np.ndarray
+) -> np.ndarray:
+    """The text of each known word, of SPACED bytes, in a run of single letters or signs with blanks between them."""
+    leet = _LEET[t.data]
+    size = np.where(t.raw[start] >= 0xC0, 2, 1)
+    tail = np.concatenate([[0], np.cumsum(~_PUNCT[t.raw])])
+    single = _LETTER[leet[start]] & (end - start >= size)
+    single &= tail[end] == tail[np.minimum(start + size, end)]
+    one = np.flatnonzero(single)
+    if not len(one):
+        return one
+    first, size, own = start[one], size[one], text[one]
+    bytes_ = np.sort(np.concatenate([first, first[size == 2] + 1]))
+    spans = Spans(leet[bytes_])
+    p = np.searchsorted(bytes_, first)
+    ends = np.append((one[1:] != one[:-1] + 1) | (own[1:] != own[:-1]), True)
+    last = (p + size)[np.flatnonzero(ends)[np.cumsum(ends) - ends]]
+    hit = np.zeros(len(one), bool)
+    for n in SPACED:
+        word = spans.hash(p, np.minimum(p + n, last))
+        hit |= (p + n <= last) & ((lexicon.of(word) > 0) | np.isin(word, seeds))
+    return own[hit]
+
+
 def features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     """FEATURES of each text; a text without letters has 0 in all that concern words."""
     t = Tokens(column)
@@ -136,25 +197,17 @@ def features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
     blank = (t.raw == 32) | ((t.raw >= 9) & (t.raw <= 13))
     w_start, w_end = t.runs(~blank)
     w_text = t.text_of(w_start)
-    letter = _LETTER[t.data]
-    letters = np.concatenate([[0], np.cumsum(letter)])
-    # Words with something else between their first and last letter, read with signs as letters and nothing else.
-    first = np.searchsorted(np.flatnonzero(letter), w_start)
-    where = np.flatnonzero(letter)
+    # Words with something else between their first and last letter.
+    where = np.flatnonzero(_LETTER[t.data])
+    letters = np.concatenate([[0], np.cumsum(_LETTER[t.data])])
     held = letters[w_end] - letters[w_start]
     some = held > 0
-    lo, hi = w_start[some], w_end[some]
-    a = where[first[some]]
-    b = where[first[some] + held[some] - 1] + 1
-    mixed_in = (b - a) > held[some]
-    o_start, o_end, o_text = lo[mixed_in], hi[mixed_in], w_text[some][mixed_in]
-    leet = _LEET[t.raw]
-    stays = _LETTER[leet]
-    squeezed = leet[stays]
-    place = np.concatenate([[0], np.cumsum(stays)])
-    spans = Spans(squeezed)
-    hidden = spans.hash(place[o_start], place[o_end])
-    o_hit = (lexicon.of(hidden) > 0) | np.isin(hidden, seeds)
+    a, b = where[letters[w_start[some]]], where[letters[w_end[some]] - 1] + 1
+    o_text = w_text[some][(b - a) > held[some]]
+    hidden = np.concatenate([
+        w_text[some][hidden_words(t, w_start[some], w_end[some], lexicon, seeds)],
+        spaced_words(t, w_start, w_end, w_text, lexicon, seeds),
+    ])
 
     count = lambda text, w=None: np.bincount(text, w, t.n)
     total = lambda marked: np.diff(np.concatenate([[0], np.cumsum(marked)])[t.bounds])
@@ -172,7 +225,7 @@ def features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
         "odds_sum": count(t.text, odds),
         "odds_max": strongest,
         "distinct_hits": count(pair),
-        "obfuscated_hits": count(o_text[o_hit]),
+        "obfuscated_hits": count(hidden),
         "near_you": count(t.text[hit & near]) / np.maximum(hits, 1),
         "you_rate": count(t.text[is_you]) / np.maximum(n, 1),
         "upper_rate": total((t.raw >= 65) & (t.raw < 91)) / np.maximum(ascii_letters, 1),

@@ -247,6 +247,14 @@ def test_obfuscated_words_are_read():
     assert list(column["obfuscated_hits"]) == [1, 0, 0] and list(column["seed_hits"]) == [0, 2, 0]
 
 
+def test_all_forms_of_obfuscated_words_are_read():
+    none = toxicity.Lexicon(np.zeros(0, np.uint64), np.zeros(0))
+    hidden = ["1diot", "a $tupid one", "idio7", "mor0n!", "idi0ts", "i d i o t", "a i d 1 o t!", "!!mor0n?!", "moron$ i.d.i.o.t"]
+    plain = ["idiot! (idiot), idiot", "i d i", "a b c d e f", "100 $5 well-known 8am", "!!! ### 42", "ididots i diot", "é è ü", ""]
+    x = toxicity.features(pa.array(hidden + plain), none)[:, toxicity.FEATURES.index("obfuscated_hits")]
+    assert list(x) == [1] * 8 + [1] + [0] * len(plain)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
