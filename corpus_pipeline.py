@@ -51,7 +51,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Two stages fit or verify what SQL can't express; tests compare the stages with brute force.
+#: Two stages fit or verify what SQL can't express. No test compares the rows of the whole pipeline with brute force.
 ORACLE_SQL = None
 
 
