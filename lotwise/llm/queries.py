@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotwise.llm import (
     bpe,
     chat_format,
     exact_dedup,
     license_scan,
+    merkle,
     mixing,
     near_dedup,
     oracle,
     quality_rules,
     rule_ensemble,
     substring_dedup,
+    token_files,
     toxicity,
+    turn_repair,
 )
 from lotwise.llm.tables import table
 
@@ -27,6 +31,7 @@ WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 0.5}
 DEFAULT_WEIGHT = 1.0
 SEED = 17
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +80,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_conversations(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), token_files.new_folder(spark)
+    token_files.write_token_files(docs, public_tokenizers.path(BYTE_TOKENIZER), folder)
+    return token_files.digest_token_files(spark, folder)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.verify_documents(table(spark, sf_dir, "documents"), tampered)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline  # it imports this module
 
@@ -90,6 +110,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_minhash_near_dedup": op9_minhash_near_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_turn_repair": op11_turn_repair,
+        "op12_token_files": op12_token_files,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
@@ -98,4 +121,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_dedup": oracle.OP1,
         "op2_license_scan": oracle.op2(),
         "op4_source_mixing": oracle.op4(WEIGHTS, DEFAULT_WEIGHT, SEED),
+        "op11_turn_repair": oracle.OP11,
+        "op13_merkle_manifest": oracle.OP13,
     }

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,17 @@ HEAVY_SHARE = 0.001
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+Kept = TypeVar("Kept")
+
+
+def kept_in_process(key: Hashable, make: Callable[[], Kept]) -> Kept:
+    """What ``make`` gives, made once per worker process and used by all of its tasks: for what depends on a file alone."""
+    memory = sys.modules.setdefault("lotwise_kept", types.ModuleType("lotwise_kept")).__dict__
+    if key not in memory:
+        memory[key] = make()
+    return memory[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

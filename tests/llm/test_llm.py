@@ -376,7 +376,8 @@ def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name]).df()
     got = queries.queries()[name](spark, SMALL).toPandas()[list(want.columns)]
     text = lambda df: sorted(tuple("" if v is None or v != v else f"{v:.9g}" if isinstance(v, float | np.floating) else str(v) for v in r) for r in df.astype(object).to_numpy())
