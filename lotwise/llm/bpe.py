@@ -9,13 +9,14 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.tables import text_or_empty
+from lotwise.llm.tables import kept_in_process, text_or_empty
 
 #: Encoded words that a task remembers, in two generations of so many.
 REMEMBERED = 100_000
@@ -115,18 +116,16 @@ class Transducer:
 
     def stream(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of a symbol stream, with a buffer of some lookaheads whatever the length of the stream."""
-        held: list[str] = []
-        enough = 4 * self.lookahead + 64
-        for s in symbols:
-            held.append(s)
-            if len(held) >= enough:
-                used = 0
-                for token, size in self._sized(held):
-                    if used + size + self.lookahead > len(held):
-                        break
-                    used += size
-                    yield token
-                held = held[used:]
+        coming, enough = iter(symbols), 4 * self.lookahead + 64
+        held = list(islice(coming, enough))
+        while len(held) == enough:
+            used = 0
+            for token, size in self._sized(held):
+                if used + size + self.lookahead > len(held):
+                    break
+                used += size
+                yield token
+            held = [*held[used:], *islice(coming, used)]
         yield from self.merge(held)
 
     def _sized(self, held: list[str]) -> Iterator[tuple[str, int]]:
@@ -141,7 +140,9 @@ class Transducer:
 
 
 class Encoder(dict):
-    """Maps a word to what its tokens give: (ids as text, decoded text). Remembers a bounded number of words."""
+    """Maps a word to what its tokens give: (ids as text, decoded text). Remembers a bounded number of words.
+
+    A worker process keeps one for all its tasks: reading the file and meeting the common words takes a second."""
 
     def __init__(self, vocabulary: Vocabulary, lookahead: int):
         super().__init__()
@@ -168,11 +169,7 @@ class Encoder(dict):
         """Ids of one word; a symbol is a byte, and the last one carries the mark of the word's end."""
         letters = list(word.encode().decode("latin-1").translate(self.letters))
         letters[-1] += self.vocabulary.suffix
-        if len(letters) <= 4 * self.transducer.lookahead + 64:
-            tokens: Iterable[str] = self.transducer.merge(letters)
-        else:
-            tokens = self.transducer.stream(letters)
-        return (self.vocabulary.ids[t] for t in tokens)
+        return (self.vocabulary.ids[t] for t in self.transducer.stream(letters))
 
     def words(self, text: str) -> Iterator[str]:
         """Words of a text: strings that are never cut, and the words between them after NFC and in lower case."""
@@ -180,7 +177,9 @@ class Encoder(dict):
         for k, part in enumerate(parts):
             if k % 2:
                 yield part
-            elif part:
+            elif part.isascii():
+                yield from self.word.findall(part.lower())
+            else:
                 # Sigma apart, as lower() would make a final one of the last in a word.
                 yield from self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
 
@@ -246,7 +245,7 @@ def _encoding(docs: DataFrame, tokenizer_path: str, digests: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, lookahead = shared.value
-        encoder = Encoder(Vocabulary.parse(file), lookahead)
+        encoder = kept_in_process(("bpe", hash(file)), lambda: Encoder(Vocabulary.parse(file), lookahead))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
