@@ -233,27 +233,43 @@ def shard_masks(pieces: list[tuple[str, int]]) -> list[int]:
     return [sum(1 << k for k, state in enumerate(e[WINDOW - 1 :]) if automaton.twice(state)) for e in ends]
 
 
+def alone_mask(text: str, n: int) -> int | None:
+    """``shard_masks`` for a piece that has a shard for itself, where it is plain: all windows of one that occurs
+    elsewhere, none of one whose words are too many to repeat inside it. A window that stands in it twice, at
+    most PIECE - 1 words apart, would have no more different words than that."""
+    words = text.split(" ")
+    if n > 1:
+        return (1 << (len(words) - WINDOW + 1)) - 1
+    return 0 if len(set(words)) >= PIECE else None
+
+
 def match_pieces(pieces: DataFrame) -> DataFrame:
     """(piece, n, mask) of the pieces (shard, text, n) with a repeated window; all pieces of a shard meet in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("shard", "text", "n")), strict=True))
         held: list[tuple[str, int]] = []
+        alone: list[tuple[str, int, int]] = []
         words = 0
-        for _, own in groupby(rows, key=lambda r: r[0]):
-            for _, text, n in own:
-                held.append((text, n))
-                words += text.count(" ") + 1
-            if words >= SHARD_WORDS:
-                yield _matched(held)
-                held, words = [], 0
-        yield _matched(held)
+        for _, group in groupby(rows, key=lambda r: r[0]):
+            own = [(text, n) for _, text, n in group]
+            mask = alone_mask(*own[0]) if len(own) == 1 else None
+            if mask is not None:
+                alone += [(*own[0], mask)] if mask else []
+            else:
+                held += own
+                words += sum(text.count(" ") + 1 for text, _ in own)
+            if words >= SHARD_WORDS or len(alone) >= 1000:
+                yield _matched(held, alone)
+                held, alone, words = [], [], 0
+        yield _matched(held, alone)
 
     return pieces.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "piece binary, n long, mask long")
 
 
-def _matched(held: list[tuple[str, int]]) -> pa.RecordBatch:
-    found = [(hashlib.md5(t.encode()).digest(), n, m) for (t, n), m in zip(held, shard_masks(held), strict=True) if m]
+def _matched(held: list[tuple[str, int]], alone: list[tuple[str, int, int]]) -> pa.RecordBatch:
+    masked = [*alone, *((t, n, m) for (t, n), m in zip(held, shard_masks(held), strict=True) if m)]
+    found = [(hashlib.md5(t.encode()).digest(), n, m) for t, n, m in masked]
     kinds = [("piece", pa.binary()), ("n", pa.int64()), ("mask", pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, (_, k) in enumerate(kinds)], [n for n, _ in kinds])
 
@@ -283,9 +299,13 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     windows = single_windows(cut).groupBy("text").agg(F.sum("n").alias("n"))
     shards = whole.select(F.col("gram").alias("shard"), "text", "n")
     matched = checkpointed(match_pieces(shards.unionByName(windows.select(F.xxhash64("text").alias("shard"), "text", "n"))))
-    whole, cut = _by_weight(pieces, heavy, bits)
-    places = whole.unionByName(single_windows(cut))
-    places = checkpointed(places.select("id", "mark", "first", F.unhex(F.md5("text")).alias("piece")))
+    # The pieces are made a second time, in one pass for both kinds.
+    flagged = with_bit(pieces.withColumn("slot", _slot(bits)), "slot", heavy, "heavy")
+    words = F.split("text", " ")
+    starts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(F.array(F.lit(0)))
+    each = flagged.withColumn("k", F.explode(starts))
+    window = F.when(F.col("heavy"), F.concat_ws(" ", F.slice(words, F.col("k") + 1, WINDOW))).otherwise(F.col("text"))
+    places = checkpointed(each.select("id", "mark", (F.col("first") + F.col("k")).alias("first"), F.unhex(F.md5(window)).alias("piece")))
     found = look_up(places, matched, "piece", "n")
     return found.groupBy("id", "mark").agg(F.collect_set(F.struct("first", "mask")).alias("runs"))
 
