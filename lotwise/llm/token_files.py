@@ -16,10 +16,12 @@ Every block but the last is full, so the id at place p of the file is in block p
 from __future__ import annotations
 
 import io
+import json
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 
@@ -30,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.llm.bpe import byte_letters
 from lotwise.llm.tables import checkpoint_folder, kept_in_process, text_or_empty
 
 #: Ids in a block.
@@ -39,10 +42,17 @@ PERCENTILE = 95
 MAGIC = b"PFORIDS1"
 _HEAD = "<HHIB"
 _FOOT = "<QQQ8s"
-#: Texts are encoded in groups of about so many characters; a longer text is cut where no token can span the cut.
+#: Texts are encoded in parts of about so many characters, cut where no token can span the cut.
 GROUP_CHARS = 1 << 20
 #: A blank between two ASCII letters: the patterns of byte-level BPE begin a new piece there, whatever surrounds it.
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: ASCII, Latin, Greek and Cyrillic letters and common signs, of the same class in all tables of Unicode. Left out are the few
+#: numbers that Python's patterns take for letters.
+KNOWN = r"\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2010-\u2027\u2030-\u205e"
+#: Fixed value: how byte-level BPE cuts a text, for KNOWN characters.
+WORDS = r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: Words that a worker process remembers, in two generations of about so many.
+REMEMBERED = 150_000
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -168,14 +178,55 @@ def _place(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.LocalFileSystem(), folder
 
 
-def _tokenizer(text: str):
-    """The library's tokenizer of a file's text."""
-    from tokenizers import Tokenizer
+class WordEncoder(dict):
+    """The library's ids of whole texts, with a memory of words: word to ids as unsigned 32-bit numbers of the machine.
 
-    found = Tokenizer.from_str(text)
-    found.no_truncation()
-    found.no_padding()
-    return found
+    The library cuts a text into words by a pattern and encodes each word for itself, so the ids of a text are those of its
+    words in order. Here the same pattern cuts, and the library's model encodes the words that aren't remembered.
+    Texts with other characters than KNOWN ones, whose class may depend on the version of Unicode's tables, or with
+    strings that the library never cuts, are given to the library whole.
+    """
+
+    def __init__(self, file_text: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.library = Tokenizer.from_str(file_text)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.tokenize = self.library.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+        self.older: dict[str, bytes] = {}
+        self.known = re.compile(f"[{KNOWN}]*")
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.never_cut = re.compile("|".join(special) or r"(?!)")
+        file = json.loads(file_text)
+        first = file["pre_tokenizer"] or {}
+        usual = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not file["normalizer"]
+        self.words = re.compile(WORDS).findall if usual else None
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            # Of the printable letters of ASCII only the blank has another letter for its byte.
+            plain = word.isascii() and word.isprintable()
+            letters = word.replace(" ", self.letters[32]) if plain else word.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+        self[word] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        parts = (self.library.encode(p, add_special_tokens=False).ids for p in _pieces(text))
+        return b"".join(array("I", ids).tobytes() for ids in parts)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as unsigned 32-bit numbers of the machine."""
+        if self.words is None or not self.known.fullmatch(text) or self.never_cut.search(text):
+            return self._whole(text)
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.words(text)))
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -187,29 +238,12 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
-    held, chars = [], 0
-    for text in texts:
-        if held and chars + len(text) > GROUP_CHARS:
-            yield held
-            held, chars = [], 0
-        held.append(text)
-        chars += len(text)
-    if held:
-        yield held
-
-
 def encoded(tokenizer_text: str, texts: Iterable[str], end_id: int) -> Iterator[np.ndarray]:
     """The ids of each text, and ``end_id`` after them."""
-    tokenizer = kept_in_process(("library", hash(tokenizer_text)), lambda: _tokenizer(tokenizer_text))
-    end = np.array([end_id], np.uint32)
-    for group in _groups(texts):
-        if len(group) == 1:
-            parts = [tokenizer.encode(p, add_special_tokens=False).ids for p in _pieces(group[0])]
-            yield np.concatenate([*(np.array(p, np.uint32) for p in parts), end])
-        else:
-            for e in tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                yield np.append(np.array(e.ids, np.uint32), end)
+    encoder = kept_in_process(("token files", hash(tokenizer_text)), lambda: WordEncoder(tokenizer_text))
+    end = array("I", [end_id]).tobytes()
+    for text in texts:
+        yield np.frombuffer(b"".join([*map(encoder.encode, _pieces(text)), end]), np.uint32)
 
 
 def write_token_files(
@@ -225,15 +259,14 @@ def write_token_files(
     Returns the manifest, read from where it is written: partition, file, n_docs, n_ids; one row per file.
 
     Null texts count as empty and have the end id alone. Null ids come first. Rows with equal ids follow one another in
-    order of a hash of their texts; equal rows are documents like others, and may spread over several files. An
-    empty table gives an empty manifest. Very long texts are encoded in parts. Other columns aren't read.
+    any order; equal rows are documents like others. Both may spread over several files. An empty table gives an
+    empty manifest. Very long texts are encoded in parts. Other columns aren't read.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    # The place in the input spreads rows that are alike in all else.
-    rows = rows.repartitionByRange("id", "tie", F.monotonically_increasing_id()).sortWithinPartitions("id", "tie").drop("tie")
+    # The place in the input spreads rows with equal ids. Looking for the ranges reads no texts.
+    rows = rows.repartitionByRange("id", F.monotonically_increasing_id()).sortWithinPartitions("id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, writer, n_docs = TaskContext.get().partitionId(), None, 0
@@ -244,7 +277,8 @@ def write_token_files(
                 system.create_dir(path)
                 writer = TokenWriter(system.open_output_stream(f"{path}/{name}"))
             writer.name(batch.column("id"))
-            for ids in encoded(shared.value, (t.as_py() for t in batch.column("text")), end_id):
+            texts = (t for lo in range(0, batch.num_rows, 256) for t in batch.column("text")[lo : lo + 256].to_pylist())
+            for ids in encoded(shared.value, texts, end_id):
                 writer.add(ids)
             n_docs += batch.num_rows
         if writer is not None:

@@ -2,6 +2,7 @@
 
 import io
 import os
+import re
 import struct
 import zlib
 
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -63,6 +65,21 @@ def test_file_round_trip_and_ranges():
         token_files.TokenReader(io.BytesIO(file.kept[:-1]), len(file.kept) - 1)
 
 
+def test_words_are_those_of_the_public_pattern():
+    """Character by character over all KNOWN ones, and on odd texts; ids against the library."""
+    known = [chr(c) for c in range(0x2100) if re.fullmatch(f"[{token_files.KNOWN}]", chr(c))]
+    assert len(known) > 1300 and not {"\xb2", "\x85", "\u2028", "\u0530"} & set(known)
+    theirs, ours = regex.compile(public_tokenizers.PATTERN), re.compile(token_files.WORDS)
+    rng = np.random.default_rng(1)
+    odd = ["it's I'LL 'tis ''s", "a  b\n\n c ", " \t\xa0x", "__a_1 2_", "’’ 3a4", "   ", "x   y"]
+    mixed = ["".join(rng.choice([*known, *" 's\n1a_"] * 1, 60)) for _ in range(300)]
+    for text in [c + "a" for c in known] + [f"a{c}1 {c}{c}" for c in known] + odd + mixed:
+        assert ours.findall(text) == theirs.findall(text), text
+    library, encoder = Tokenizer.from_file(PATH), token_files.WordEncoder(open(PATH, encoding="utf-8").read())
+    for text in odd + mixed + ["½ 日本 \u2028 x", "<|endoftext|>", "\ud7ff \x1c", ""]:
+        assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def expected(rows):
     library, start, out = Tokenizer.from_file(PATH), 0, []
     for doc, text in rows:
