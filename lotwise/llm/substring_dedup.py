@@ -128,7 +128,7 @@ def suspect_spans(rows: DataFrame, known: Broadcast, bits: int) -> DataFrame:
                 new = np.flatnonzero(np.append(True, firsts[1:] != firsts[:-1] + 1)) if len(at) else at
                 a, b = firsts[new], firsts[np.append(new[1:], len(at)) - 1] + WINDOW - 1 if len(at) else firsts
                 text = p.text[a]
-                own = batch.slice(lo, hi - lo).take(pa.array(text))
+                own = batch.select(["id", "mark"]).slice(lo, hi - lo).take(pa.array(text))
                 values = [own.column("id"), own.column("mark"), pa.array(a - p.first[text], pa.int64())]
                 texts = pa.array([p.words(i, j).decode() for i, j in zip(a, b, strict=True)], pa.string())
                 yield pa.RecordBatch.from_arrays([*values, texts], ["id", "mark", "first", "text"])
@@ -150,7 +150,7 @@ def span_pieces(spans: DataFrame) -> DataFrame:
                 at, n = p.pieces(np.ones(len(p.windows), bool))
                 a = p.first_word[at]
                 text = p.text[a]
-                own = batch.slice(lo, hi - lo).take(pa.array(text))
+                own = batch.select(["id", "mark", "first"]).slice(lo, hi - lo).take(pa.array(text))
                 first = own.column("first").to_numpy() + a - p.first[text]
                 texts = pa.array([p.words(i, i + k + WINDOW - 2).decode() for i, k in zip(a, n, strict=True)], pa.string())
                 columns = [own.column("id"), own.column("mark"), pa.array(first, pa.int64()), pa.array(p.least[at].view(np.int64)), texts]
