@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.constants import ABORT, FAIL, PASS
+from lotwise.operators.collation import EXACT, Comparison
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -40,14 +41,14 @@ def top1(df: DataFrame, rank: str = "sort") -> DataFrame:
     return df.filter(F.col(rank) == 1)
 
 
-def latest_load(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def latest_load(df: DataFrame, keys: Sequence[str], compare: Comparison = EXACT) -> DataFrame:
     """The first row of ``rank_latest_load`` as an aggregation: keys, load_time, grn_id.
 
     "Latest" is a maximum, so it is combined before the shuffle and a hot key shrinks to one
     row per task. Use this where only lot and time are needed.
     """
     best = F.max(F.struct("load_time", "grn_id")).alias("best")
-    return df.groupBy(*keys).agg(best).select(*keys, "best.load_time", "best.grn_id")
+    return compare.grouped(df, keys, best).select(*keys, "best.load_time", "best.grn_id")
 
 
 def union_bag(*dfs: DataFrame) -> DataFrame:
@@ -63,9 +64,9 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b.select(*a.columns))
 
 
-def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str], compare: Comparison = EXACT) -> DataFrame:
     """Full outer join; each key column holds whichever side is present."""
-    return left.join(right, list(keys), "full_outer")
+    return compare.joined(left, right, keys, "full_outer")
 
 
 def with_text(df: DataFrame, id_col: str, name: str, texts: DataFrame) -> DataFrame:
@@ -82,6 +83,20 @@ def with_total(df: DataFrame, keys: Sequence[str], measure: str, label: str = "r
     return both.withColumn(label, F.when(F.col(label) == 0, "Detail").otherwise("Total"))
 
 
+def with_totals(df: DataFrame, outer: Sequence[str], inner: Sequence[str], measure: str, label: str = "row_type") -> DataFrame:
+    """Detail rows per ``outer`` and ``inner`` keys, a total per ``outer`` keys and a grand total, told apart by ``label``.
+
+    One pass over the input: grouping sets, combined per task before they are moved. ``label`` comes from the id of the
+    grouping set, so keys that are NULL themselves aren't taken for totals.
+    """
+    keys = [*outer, *inner]
+    sets = [[F.col(k) for k in keys], [F.col(k) for k in outer], []]
+    sums = df.groupingSets(sets, *keys).agg(F.sum(measure).alias(measure), F.grouping_id().alias(label))
+    of_outer, of_all = (1 << len(inner)) - 1, (1 << len(keys)) - 1
+    shown = F.when(F.col(label) == 0, "Detail").when(F.col(label) == of_outer, "Total").when(F.col(label) == of_all, "Grand total")
+    return sums.withColumn(label, shown)
+
+
 def ordered(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*cols)
 

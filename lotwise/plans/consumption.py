@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.constants import EQUIPMENT_SETUP, REPLACEMENT, REPORT_CUSTOMERS, ROUTE_STEP_SETUP
-from lotwise.functions.scalars import DateLike, as_date, in_list, in_window, keep_part, or_unknown, strip_prefix
-from lotwise.operators.intervals import TimeGrid, active_within, is_edge, matches, time_grid
+from lotwise.functions.scalars import DateLike, as_date, in_list, in_window
+from lotwise.operators.collation import EXACT, Comparison
+from lotwise.operators.intervals import TimeGrid, active_within, is_edge, on_at, time_grid
 from lotwise.operators.relational import count_by, latest_load, union_bag
 from lotwise.sources.tables import Tables
 
 # Keys that differ most come first: sorting and hashing compare them first.
 POSITION_KEYS = ["wip_id", "crd", "run_date", "serial_number", "branch"]
 BLOCK_KEYS = ["block", "setup_id", "branch"]
+CELL_KEYS = ["tick", "setup_id", "branch"]
 STEP_TIMES = ["start_time", "end_time"]
 
 # Equipment of setups that hold for a route step on any equipment.
@@ -188,21 +190,27 @@ def loaded_positions(
     """Lot at each position of each unit: the latest load that was on at the start or the end of
     one of the unit's steps of the day. Positions replaced later are left out. None if no steps.
 
-    Per block only the latest load is kept, at edges the latest of equal times, and gets its positions
-    before the steps see it, so that steps are shuffled by block only. A replacement applies to a whole
-    position, so dropping replaced positions after the choice equals dropping them before.
+    Per block only the latest load is kept, at edges the latest of equal times. What is on at a setup is then found once
+    per cell, a setup in a tick that any step looks at: of the blocks around the tick the latest load of each slot is
+    carried down to it. A step has a row per tick it looks at and meets one load per slot there, and those at
+    the tick's edges; it isn't multiplied by blocks. However many steps a setup has, its cells are as many as ticks.
+    A replacement applies to a whole position, so dropping replaced positions after the choice equals dropping them before.
     """
     grid = time_grid(steps, STEP_TIMES)
     if grid is None:
         return None
     positions = union_bag(*[r.slot_positions(t) for r in routes])
-    best = latest_load(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot", "since", "removal_time"])
-    best = best.join(positions, ["setup_id", "slot", "branch"]).drop("slot")
-    looks = grid.enclosing(setups_of_steps(t, steps, routes), STEP_TIMES).select(
-        *BLOCK_KEYS, *STEP_TIMES, "run_date", "wip_id", "serial_number"
+    edge = ["since", "removal_time"]
+    best = latest_load(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot", *edge])
+    looks = grid.ticks(setups_of_steps(t, steps, routes), STEP_TIMES).select(
+        *CELL_KEYS, *STEP_TIMES, "run_date", "wip_id", "serial_number"
     )
-    on = looks.join(best, BLOCK_KEYS).filter(matches(STEP_TIMES, "since", "removal_time"))
-    return latest_load(on, POSITION_KEYS).join(replaced_positions(t), ["wip_id", "crd"], "left_anti")
+    cells = grid.blocks_of(looks.select(*CELL_KEYS).distinct())
+    found = latest_load(cells.join(best, BLOCK_KEYS), [*CELL_KEYS, "slot", *edge])
+    found = found.join(positions, ["setup_id", "slot", "branch"]).drop("slot")
+    on = looks.join(found, CELL_KEYS).filter(on_at(STEP_TIMES, *edge))
+    latest = latest_load(on, POSITION_KEYS, t.compare)
+    return t.compare.joined(latest, replaced_positions(t), ["wip_id", "crd"], "left_anti")
 
 
 def replaced_positions(t: Tables) -> DataFrame:
@@ -257,7 +265,7 @@ def consumed_replacement(t: Tables, steps: DataFrame) -> DataFrame:
         "wip_id", "crd", F.col("new_grn_id").alias("grn_id")
     )
     found = units.join(new_lots, "wip_id").join(lots(t), "grn_id")
-    return _detail(found.withColumn("branch", F.lit(REPLACEMENT))).distinct()
+    return t.compare.distinct(_detail(found.withColumn("branch", F.lit(REPLACEMENT))))
 
 
 def consumed_detail(
@@ -275,30 +283,30 @@ def consumed_detail(
 QTY_KEYS = ["run_date", "internal_part", "supplier", "mpn"]
 
 
-def _consumed_groups(counts: DataFrame, merge_unknown: bool) -> DataFrame:
+def _consumed_groups(counts: DataFrame, merge_unknown: bool, compare: Comparison = EXACT) -> DataFrame:
     """Sum partial counts of raw (part, supplier, mpn) groups and show them in report form.
 
     Groups are formed on raw values, so blank and NULL suppliers of one part stay two rows that
     both read Unknown; ``merge_unknown`` forms them on the shown values instead.
     """
-    shown = [or_unknown("supplier").alias("supplier"), or_unknown("mpn").alias("mpn")]
-    df = counts.filter(keep_part("supplier", "mpn", "internal_part"))
+    shown = [compare.or_unknown(c).alias(c) for c in ("supplier", "mpn")]
+    df = counts.filter(compare.keep_part("supplier", "mpn", "internal_part"))
     if merge_unknown:
         df = df.select("run_date", "internal_part", *shown, "n")
-    df = df.groupBy(*QTY_KEYS).agg(F.sum("n").alias("consumed_qty"))
+    df = compare.grouped(df, QTY_KEYS, F.sum("n").alias("consumed_qty"))
     return df.select(
         "internal_part",
-        strip_prefix("internal_part").alias("customer_part"),
+        compare.strip_prefix("internal_part").alias("customer_part"),
         *shown,
         "run_date",
         "consumed_qty",
     )
 
 
-def consumed_qty(detail: DataFrame, merge_unknown: bool = False) -> DataFrame:
+def consumed_qty(detail: DataFrame, merge_unknown: bool = False, compare: Comparison = EXACT) -> DataFrame:
     """Consumed quantity per day, part, supplier and MPN of a consumed detail."""
     counts = detail.filter("sort = 1").select(*QTY_KEYS, F.lit(1).cast("long").alias("n"))
-    return _consumed_groups(counts, merge_unknown)
+    return _consumed_groups(counts, merge_unknown, compare)
 
 
 def consumed_qty_of_days(
@@ -316,4 +324,4 @@ def consumed_qty_of_days(
     if loaded is not None:
         per_lot = count_by(loaded, ["run_date", "grn_id"]).join(lots(t), "grn_id")
         counts = union_bag(per_lot.select(*QTY_KEYS, "n"), counts)
-    return _consumed_groups(counts, merge_unknown)
+    return _consumed_groups(counts, merge_unknown, t.compare)

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from lotwise.constants import CORRECT_ANALYSIS, DEFECT_FLAG
 from lotwise.functions import scalars as s
-from lotwise.operators.filters import filter_if, optional_in, optional_not_in, status_in
+from lotwise.operators.filters import filter_if, member_if, optional_in, optional_not_in, status_in
 from lotwise.operators.quality import require_active_user
 from lotwise.operators.relational import cap, newest_first, ordered, status_counts, with_text
+from lotwise.sources.sinks import write_audit
+from lotwise.sources.staging import staged
 from lotwise.sources.tables import Tables
 
-Ids = str | tuple[int, ...] | list[int]
-Texts = str | tuple[str, ...] | list[str]
+Ids = str | tuple[int, ...] | list[int] | DataFrame
+Texts = str | tuple[str, ...] | list[str] | DataFrame
 
 
 class Mode(Enum):
@@ -51,7 +53,8 @@ def choose_mode(
 
 @dataclass(frozen=True)
 class HistoryParams:
-    """Parameters of one call. Lists may be delimited text or any sequence; empty keeps all."""
+    """Parameters of one call. Lists may be delimited text, any sequence, or a DataFrame of one column; an empty
+    sequence keeps all. Statuses are a short list."""
 
     start: s.DateLike
     end: s.DateLike
@@ -90,8 +93,16 @@ class HistoryParams:
     legacy_grn_labels: bool = False
 
 
-def ids(values: Ids) -> list[int]:
-    return s.as_list(values, int)
+def ids(values: Ids) -> list[int] | DataFrame:
+    return values if isinstance(values, DataFrame) else s.as_list(values, int)
+
+
+def names(values: Texts) -> list[str] | DataFrame:
+    return values if isinstance(values, DataFrame) else s.as_list(values)
+
+
+def any_given(*lists: Ids | Texts) -> bool:
+    return any(isinstance(x, DataFrame) or s.as_list(x) for x in lists)
 
 
 def texts(t: Tables, language: int) -> DataFrame:
@@ -152,11 +163,18 @@ def route_names(t: Tables, p: HistoryParams) -> DataFrame:
     )
 
 
-def test_records(t: Tables, p: HistoryParams) -> DataFrame:
-    """Tests of the period with their descriptive columns, one row per data record.
+#: What a test row holds before anything is named: numbers, times and the status letter.
+TEST_IDS = [
+    "wip_id", "process_id", "assembly_id", "test_route_step_id", "test_equipment_id", "test_start_date_time",
+    "test_end_date_time", "test_status", "process_loop", "test_loop", "test_user_id",
+]
+
 
-    Without labels each test is one row with ``data_id`` 0. All filters sit on the tests or on a
-    dimension before the join; the large joins (units, records) come last and share ``wip_id``.
+def test_ids(t: Tables, p: HistoryParams, complete: bool = True) -> DataFrame:
+    """Tests of the period after all filters, as ``TEST_IDS``; the only scan of the tests.
+
+    ``complete`` also drops the tests that can't be named. Without it a later ``name_tests`` does so, which is the same
+    unless rows are cut in between.
     """
     tests = t["qm_test_data"].filter(s.between("start_date_time", s.ntz(p.start), s.ntz(p.end)))
     given = p.loop_begin is not None or p.loop_end is not None
@@ -165,7 +183,7 @@ def test_records(t: Tables, p: HistoryParams) -> DataFrame:
     tests = optional_in(tests, "equipment_id", ids(p.equipment), t["cr_equipment"])
     tests = optional_in(tests, "user_id", ids(p.test_users), t["sc_users"])
     tests = status_in(tests, s.as_list(p.statuses), t["qm_test_status"], t["cr_text"])
-    tests = tests.select(
+    df = tests.select(
         "wip_id",
         "process_id",
         "assembly_id",
@@ -178,27 +196,61 @@ def test_records(t: Tables, p: HistoryParams) -> DataFrame:
         "test_loop",
         F.col("user_id").alias("test_user_id"),
     )
-    equipment = t["cr_equipment_v"].select(
+    if complete or any_given(p.customers, p.assemblies, p.families):
+        df = df.join(assembly_names(t, p).select("assembly_id"), "assembly_id", "left_semi")
+    if complete or any_given(p.factory_routes, p.route_steps, p.steps):
+        df = df.join(route_names(t, p).select("test_route_step_id"), "test_route_step_id", "left_semi")
+    if complete:
+        df = df.join(equipment_names(t).select("test_equipment_id"), "test_equipment_id", "left_semi")
+        df = df.join(user_names(t, "test_user_id", "test_user").select("test_user_id"), "test_user_id", "left_semi")
+    if complete or p.exclude_rma or any_given(p.serial_numbers):
+        df = df.join(_units(t, p).select("wip_id"), "wip_id", "left_semi")
+    return df.select(*TEST_IDS)
+
+
+def equipment_names(t: Tables) -> DataFrame:
+    return t["cr_equipment_v"].select(
         F.col("equipment_id").alias("test_equipment_id"), F.col("equipment").alias("test_equipment")
     )
+
+
+def _units(t: Tables, p: HistoryParams) -> DataFrame:
     units = filter_if(t["wp_wip"], p.exclude_rma, F.col("rma") == 0)
-    serials = s.as_list(p.serial_numbers)
-    if serials:
-        units = units.filter(s.in_list("serial_number", serials))
-    df = (
-        tests.join(assembly_names(t, p), "assembly_id")
-        .join(route_names(t, p), "test_route_step_id")
-        .join(equipment, "test_equipment_id")
-        .join(user_names(t, "test_user_id", "test_user"), "test_user_id")
-        .join(units.select("wip_id", "serial_number"), "wip_id")
-    )
+    return member_if(units, "serial_number", names(p.serial_numbers)).select("wip_id", "serial_number")
+
+
+def record_ids(t: Tables, p: HistoryParams, complete: bool = True) -> DataFrame:
+    """The tests, one row per data record, with its label and id and nothing named.
+
+    Without labels each test is one row with ``data_id`` 0.
+    """
+    df = test_ids(t, p, complete)
     if p.show_labels:
         records = t["qm_data_rec"].select("wip_id", "process_id", "data_label", "data_id")
         df = df.join(records, ["wip_id", "process_id"], "left")
         label, data_id = s.or_default("data_label", ""), s.or_default("data_id", 0)
     else:
         label, data_id = F.lit(""), F.lit(0).cast("long")
-    return df.select(*TEST_COLUMNS, label.alias("data_label"), data_id.alias("data_id"))
+    return df.select(*TEST_IDS, label.alias("data_label"), data_id.alias("data_id"))
+
+
+def name_tests(t: Tables, p: HistoryParams, rows: DataFrame) -> DataFrame:
+    """Put the descriptive columns of the test to ``rows``, which have ``TEST_IDS``; others stay. Tests that can't be
+    named go. The large table, that of the units, comes last."""
+    others = [c for c in rows.columns if c not in TEST_IDS]
+    return (
+        rows.join(assembly_names(t, p), "assembly_id")
+        .join(route_names(t, p), "test_route_step_id")
+        .join(equipment_names(t), "test_equipment_id")
+        .join(user_names(t, "test_user_id", "test_user"), "test_user_id")
+        .join(_units(t, p), "wip_id")
+        .select(*TEST_COLUMNS, *others)
+    )
+
+
+def test_records(t: Tables, p: HistoryParams) -> DataFrame:
+    """Tests of the period with their descriptive columns, one row per data record."""
+    return name_tests(t, p, record_ids(t, p, complete=False))
 
 
 # --- analyses and repairs -----------------------------------------------------------------
@@ -243,49 +295,69 @@ def defect_names(t: Tables, p: HistoryParams) -> DataFrame:
     )
 
 
-def analysis_records(t: Tables, tests: DataFrame, p: HistoryParams) -> DataFrame:
-    """Defect analyses of the tests. Tests without labels have no data id, so they have none."""
-    materials = t["cr_materials"]
-    kinds = s.as_list(p.component_types)
-    if kinds:
-        materials = materials.filter(s.in_list("component_type", kinds))
+ANALYSIS_IDS = ["analysis_wip_id", "analysis_process_id", "analysis_data_id", "analysis_id"]
+REPAIR_IDS = [
+    "repair_wip_id", "repair_process_id", "repair_data_id", "repair_analysis_id", "repair_id", "old_grn_id", "new_grn_id",
+]
+
+
+def _materials(t: Tables, p: HistoryParams) -> DataFrame:
+    return member_if(t["cr_materials"], "component_type", names(p.component_types))
+
+
+def analysis_ids(t: Tables, tests: DataFrame, p: HistoryParams) -> DataFrame:
+    """Defect analyses of the tests, as ``ANALYSIS_IDS``. Tests without labels have no data id, so they have none.
+
+    An analysis counts only if its defect, material and analyst are known, so their keys are looked up here already.
+    """
     bounds = [None if d is None else s.ntz(d) for d in (p.analysis_start, p.analysis_end)]
     # Without bounds only analyses without a date go.
     analyses = t["qm_analysis"].filter(s.between_optional("analysis_date_time", *bounds))
     given = p.min_analysis_id is not None
     analyses = filter_if(analyses, given, s.between_optional("analysis_id", p.min_analysis_id))
     analyses = filter_if(analyses, p.component_defects_only, F.col("material_id") != 0)
-    wanted = ids(p.materials)
-    if wanted:
-        analyses = analyses.filter(s.in_list("material_id", wanted))
+    analyses = member_if(analyses, "material_id", ids(p.materials))
     analyses = optional_in(analyses, "analysis_by_id", ids(p.analysis_users), t["sc_users"], "user_id")
+    analyses = (
+        analyses.join(defect_names(t, p).select("defect_id"), "defect_id", "left_semi")
+        .join(_materials(t, p).select("material_id"), "material_id", "left_semi")
+        .join(user_names(t, "analysis_by_id", "analysis_user").select("analysis_by_id"), "analysis_by_id", "left_semi")
+        .select("analysis_id")
+    )
     links = _defect_links(t, p).filter("data_id <> 0").select("wip_id", "process_id", "data_id", "analysis_id")
-    return (
-        links.join(_record_keys(tests), ["wip_id", "process_id", "data_id"])
-        .join(analyses, "analysis_id")
+    found = links.join(_record_keys(tests), ["wip_id", "process_id", "data_id"]).join(analyses, "analysis_id", "left_semi")
+    return found.select(*[F.col(c.removeprefix("analysis_") if c != "analysis_id" else c).alias(c) for c in ANALYSIS_IDS])
+
+
+def name_analyses(t: Tables, p: HistoryParams, rows: DataFrame) -> DataFrame:
+    """Put the columns of the analysis to ``rows``, which have its id; rows without an analysis keep NULLs."""
+    analyses = (
+        t["qm_analysis"]
         .join(defect_names(t, p), "defect_id")
-        .join(materials, "material_id")
+        .join(_materials(t, p), "material_id")
         .withColumnRenamed("analysis_by_id", "analysis_user_id")
         .join(user_names(t, "analysis_user_id", "analysis_user"), "analysis_user_id")
-        .withColumnsRenamed(
-            {
-                "wip_id": "analysis_wip_id",
-                "process_id": "analysis_process_id",
-                "data_id": "analysis_data_id",
-                "descr": "material_descr",
-            }
-        )
-        .select(*ANALYSIS_COLUMNS)
+        .withColumnRenamed("descr", "material_descr")
+        .select("analysis_id", *[c for c in ANALYSIS_COLUMNS if c not in ANALYSIS_IDS])
     )
+    return rows.join(analyses, "analysis_id", "left")
 
 
-def repair_records(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryParams) -> DataFrame:
-    """Repairs of those analyses with the replaced and the new lot.
+def analysis_records(t: Tables, tests: DataFrame, p: HistoryParams) -> DataFrame:
+    """Defect analyses of the tests with their descriptive columns."""
+    return name_analyses(t, p, analysis_ids(t, tests, p)).select(*ANALYSIS_COLUMNS)
 
-    An analysis that serves several records gives its repair once per pair of them. Old and new
-    lot texts stand with their own ids; ``legacy_grn_labels`` swaps the two texts as the former
-    list did. ``repair_start`` and ``repair_end`` bound the rework date (half-open), and
-    ``replaced_only`` keeps repairs that replaced a lot.
+
+def _repair_categories(t: Tables, p: HistoryParams) -> DataFrame:
+    named = with_text(t["qm_repair_category"], "repair_category", "category_name", texts(t, p.language))
+    return named.select("repair_category_id", F.col("category_name").alias("repair_category"))
+
+
+def repair_ids(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryParams) -> DataFrame:
+    """Repairs of those analyses, as ``REPAIR_IDS``.
+
+    An analysis that serves several records gives its repair once per pair of them. ``repair_start`` and ``repair_end``
+    bound the rework date (half-open), and ``replaced_only`` keeps repairs that replaced a lot.
     """
     repairs = optional_in(
         t["qm_repair"].filter("repair_id <> 0"), "repaired_by_id", ids(p.repair_users), t["sc_users"], "user_id"
@@ -294,21 +366,12 @@ def repair_records(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryP
         repairs = repairs.filter(F.col("repair_date_time") >= s.ntz(p.repair_start))
     if p.repair_end is not None:
         repairs = repairs.filter(F.col("repair_date_time") < s.ntz(p.repair_end))
-    categories = with_text(t["qm_repair_category"], "repair_category", "category_name", texts(t, p.language))
-    lot = t["cr_grns"].select("grn_id", "grn")
-    old_lot = lot.select(F.col("grn_id").alias("old_grn_id"), F.col("grn").alias("old_grn"))
-    new_lot = lot.select(F.col("grn_id").alias("new_grn_id"), F.col("grn").alias("new_grn"))
-    replacements = (
-        t["qm_grn_replacement"]
-        .filter("repair_id <> 0")
-        .select("repair_id", "old_grn_id", "new_grn_id")
-        .join(old_lot, "old_grn_id", "left")
-        .join(new_lot, "new_grn_id", "left")
+    repairs = (
+        repairs.join(_repair_categories(t, p).select("repair_category_id"), "repair_category_id", "left_semi")
+        .join(user_names(t, "repaired_by_id", "repaired_by").select("repaired_by_id"), "repaired_by_id", "left_semi")
+        .select("repair_id")
     )
-    if p.legacy_grn_labels:
-        replacements = replacements.select(
-            "repair_id", "old_grn_id", "new_grn_id", F.col("new_grn").alias("old_grn"), F.col("old_grn").alias("new_grn")
-        )
+    replacements = t["qm_grn_replacement"].filter("repair_id <> 0").select("repair_id", "old_grn_id", "new_grn_id")
     analysed = analyses.select(
         F.col("analysis_wip_id").alias("wip_id"), F.col("analysis_process_id").alias("process_id"), "analysis_id"
     )
@@ -317,26 +380,39 @@ def repair_records(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryP
         .filter("data_id <> 0 AND repair_id <> 0")
         .select("wip_id", "process_id", "data_id", "analysis_id", "repair_id")
     )
-    return (
+    found = (
         links.join(_record_keys(tests), ["wip_id", "process_id", "data_id"])
         .join(analysed, ["wip_id", "process_id", "analysis_id"])
-        .join(repairs, "repair_id")
-        .join(
-            categories.select("repair_category_id", F.col("category_name").alias("repair_category")),
-            "repair_category_id",
-        )
-        .join(user_names(t, "repaired_by_id", "repaired_by"), "repaired_by_id")
+        .join(repairs, "repair_id", "left_semi")
         .join(replacements, "repair_id", "inner" if p.replaced_only else "left")
-        .withColumnsRenamed(
-            {
-                "wip_id": "repair_wip_id",
-                "process_id": "repair_process_id",
-                "data_id": "repair_data_id",
-                "analysis_id": "repair_analysis_id",
-            }
-        )
-        .select(*REPAIR_COLUMNS)
     )
+    own = {"repair_wip_id": "wip_id", "repair_process_id": "process_id", "repair_data_id": "data_id", "repair_analysis_id": "analysis_id"}
+    return found.select(*[F.col(own.get(c, c)).alias(c) for c in REPAIR_IDS])
+
+
+def name_repairs(t: Tables, p: HistoryParams, rows: DataFrame) -> DataFrame:
+    """Put the columns of the repair and the texts of its lots to ``rows``, which have their ids; rows without a repair
+    keep NULLs. Old and new lot texts stand with their own ids; ``legacy_grn_labels`` swaps the two texts as the
+    former list did."""
+    repairs = (
+        t["qm_repair"]
+        .join(_repair_categories(t, p), "repair_category_id")
+        .join(user_names(t, "repaired_by_id", "repaired_by"), "repaired_by_id")
+        .select("repair_id", *[c for c in REPAIR_COLUMNS if c not in (*REPAIR_IDS, "old_grn", "new_grn")])
+    )
+    lot = t["cr_grns"].select("grn_id", "grn")
+    shown = {"old_grn_id": "old_grn", "new_grn_id": "new_grn"}
+    if p.legacy_grn_labels:
+        shown = {"old_grn_id": "new_grn", "new_grn_id": "old_grn"}
+    named = rows.join(repairs, "repair_id", "left")
+    for lot_id, name in shown.items():
+        named = named.join(lot.select(F.col("grn_id").alias(lot_id), F.col("grn").alias(name)), lot_id, "left")
+    return named
+
+
+def repair_records(t: Tables, tests: DataFrame, analyses: DataFrame, p: HistoryParams) -> DataFrame:
+    """Repairs of those analyses with the replaced and the new lot."""
+    return name_repairs(t, p, repair_ids(t, tests, analyses, p)).select(*REPAIR_COLUMNS)
 
 
 # --- result forms -------------------------------------------------------------------------
@@ -382,10 +458,10 @@ def history_rows(tests: DataFrame, analyses: DataFrame, repairs: DataFrame, mode
 
 
 def tests_with_counts(tests: DataFrame, analyses: DataFrame, repairs: DataFrame) -> DataFrame:
-    """One row per test with the numbers of joined label, analysis and repair rows."""
+    """One row per test with the numbers of joined label, analysis and repair rows. Only ids are joined and grouped."""
     return (
         history_rows(tests, analyses, repairs)
-        .groupBy(*TEST_COLUMNS)
+        .groupBy(*TEST_IDS)
         .agg(
             F.count("data_label").alias("data_label_count"),
             F.count("analysis_wip_id").alias("analysis_records"),
@@ -394,8 +470,7 @@ def tests_with_counts(tests: DataFrame, analyses: DataFrame, repairs: DataFrame)
     )
 
 
-def as_is(df: DataFrame) -> DataFrame:
-    return df
+ROW_ORDER = ["process_id", "data_id", "analysis_id", "repair_id", "new_grn_id", "old_grn_id"]
 
 
 def test_history(
@@ -403,32 +478,52 @@ def test_history(
     p: HistoryParams,
     mode: Mode = Mode.ALL,
     user_id: int | None = None,
-    stage: Callable[[DataFrame], DataFrame] = as_is,
+    stage: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """Result of one call in the form of ``mode``, ordered, and cut to ``max_count`` rows if set.
 
-    The user, if given, must be active. Only what the mode needs is built. Tests and analyses are
-    read by several joins; ``stage`` may write them once, for example
-    ``lambda df: df.checkpoint()``. The row cap applies to the ordered result only, so it never
-    loses tests that an analysis needs.
+    The user, if given, must be active. Only what the mode needs is built. Tests, analyses and repairs are found, joined,
+    counted, ordered and cut as ids; what describes them is joined to the rows that are left. The ids of the
+    records and of the analyses are read by several joins: ``stage`` writes them once, by default to the folder that
+    executors share. The row cap applies to the ordered result only, so it never loses tests that an analysis
+    needs. Keys of tables that describe (units, users, materials, lots and so on) are taken as unique.
     """
     if user_id is not None:
         require_active_user(t["sc_users"], user_id)
-    tests = test_records(t, p)
-    if mode is Mode.ASSEMBLY:
-        return cap(assembly_test_summary(tests), p.max_count)
-    if mode is Mode.ROUTE_STEP:
-        return cap(route_step_test_summary(tests), p.max_count)
-    if mode is Mode.TOTAL:
-        return cap(total_test_summary(tests), p.max_count)
-    tests = stage(tests)
-    analyses = stage(analysis_records(t, tests, p))
-    repairs = repair_records(t, tests, analyses, p)
+    if mode in SUMMARIES:
+        tests = test_records(t, p)
+        if mode is Mode.TOTAL:
+            return cap(total_test_summary(tests), p.max_count)
+        return cap((assembly_test_summary if mode is Mode.ASSEMBLY else route_step_test_summary)(tests), p.max_count)
+    tests = stage(record_ids(t, p, complete=bool(p.max_count)))
+    analyses = stage(analysis_ids(t, tests, p))
+    repairs = repair_ids(t, tests, analyses, p)
+    time = "test_start_date_time"
     if mode is Mode.COUNTS:
-        return cap(newest_first(tests_with_counts(tests, analyses, repairs), "test_start_date_time", "process_id"), p.max_count)
+        counted = tests_with_counts(tests, analyses, repairs)
+        chosen = cap(newest_first(counted, time, "process_id"), p.max_count) if p.max_count else counted
+        return cap(newest_first(name_tests(t, p, chosen), time, "process_id"), p.max_count)
     rows = history_rows(tests, analyses, repairs, mode)
-    ties = ["process_id", "data_id", "analysis_id", "repair_id", "new_grn_id", "old_grn_id"]
-    return cap(newest_first(rows, "test_start_date_time", *ties), p.max_count)
+    if p.max_count:
+        rows = cap(newest_first(rows, time, *ROW_ORDER), p.max_count)
+    named = name_repairs(t, p, name_analyses(t, p, name_tests(t, p, rows)))
+    named = named.select(*RECORD_COLUMNS, *ANALYSIS_COLUMNS, *REPAIR_COLUMNS)
+    return cap(newest_first(named, time, *ROW_ORDER), p.max_count)
+
+
+def audited_history(
+    t: Tables,
+    p: HistoryParams,
+    mode: Mode,
+    user_id: int,
+    action: Callable[[DataFrame], object],
+    audit: str,
+    zone: str = "UTC",
+) -> object:
+    """``timed_history`` that appends the record of the finished call to the audit table at ``audit``."""
+    result, record = timed_history(t, p, mode, user_id, action, zone)
+    write_audit(t["sc_users"].sparkSession, audit, **record)
+    return result
 
 
 def timed_history(

@@ -56,6 +56,11 @@ REPORT = (
     "failed_qty long, start_date date, insert_datetime timestamp_ntz, snapshot_date date"
 )
 
+WEEKLY = (
+    "customer_part string, supplier string, mpn string, start_date date, end_date date, monday_date date, "
+    "consumed_qty long"
+)
+
 AUDIT = "procedure string, elapsed_ms long, user_id long, start_time timestamp_ntz"
 
 

@@ -1,67 +1,16 @@
-"""Written results: report history, retention, audit, exports."""
+"""Written results: audit and exports. The report history is in ``report_store``."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.functions import scalars as s
-from lotwise.plans.report import apply_retention
 from lotwise.sources.schemas import AUDIT
 
 
-def _folders(spark: SparkSession, path: str) -> dict[dt.date, object]:
-    """Folder of each day of the history, from a listing of names; no file is read."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [f.getPath() for f in fs.listStatus(root)] if fs.exists(root) else []
-    prefix = "start_date="
-    days = {p.getName().removeprefix(prefix): p for p in found if p.getName().startswith(prefix)}
-    return {dt.date.fromisoformat(day): p for day, p in days.items() if not day.startswith("__")}
-
-
-def _delete(spark: SparkSession, folder) -> None:
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def write_daily(report: DataFrame, path: str, append: bool = False, days: Collection[dt.date] = ()) -> None:
-    """Add report days to the history, one partition per day.
-
-    The days written replace what the history holds for them, so a rerun or a retried job leaves
-    one copy. ``days`` names the days that were computed: those for which the report has no rows
-    are emptied. ``append`` adds a second copy, as a plain insert would.
-    """
-    spark = report.sparkSession
-    if days and not append:
-        got = {r["start_date"] for r in report.select("start_date").distinct().collect()}
-        for day, folder in _folders(spark, path).items():
-            if day in set(days) - got:
-                _delete(spark, folder)
-    rows = report.hint("rebalance")
-    writer = rows.write.partitionBy("start_date")
-    if append:
-        writer.mode("append").parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-
-
-def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime) -> list[dt.date]:
-    """Remove whole days that are past retention from the history; returns them.
-
-    Only partition names are read, at most one per day of the history, and no row is rewritten.
-    """
-    folders = _folders(spark, path)
-    days = spark.createDataFrame([(day,) for day in folders], "start_date date")
-    expired = sorted(r["start_date"] for r in days.exceptAll(apply_retention(days, as_of)).collect())
-    for day in expired:
-        _delete(spark, folders[day])
-    return expired
-
-
 def write_audit(
     spark: SparkSession, path: str, procedure: str, user_id: int, start: dt.datetime, end: dt.datetime
 ) -> None:

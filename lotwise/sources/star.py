@@ -8,13 +8,13 @@ when an executor is lost.
 from __future__ import annotations
 
 import re
-import tempfile
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lotwise.sources.schemas import LOOKUPS
+from lotwise.sources.staging import shared_folder
 from lotwise.sources.star_recipes import RECIPES
 from lotwise.sources.tables import Tables
 
@@ -39,22 +39,6 @@ SPARK_FORM = {
 }
 
 _written: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
-_scratch: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder for written intermediates: the one the cluster names in ``spark.checkpoint.dir``.
-    Only a local master may go without; it gets a scratch folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if named:
-        return f"{named.rstrip('/')}/lotwise-{app}"
-    if app not in _scratch:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _scratch[app] = tempfile.mkdtemp(prefix="lotwise-")
-        spark.sparkContext.setCheckpointDir(_scratch[app])
-    return _scratch[app]
 
 
 def needs(name: str) -> list[str]:
@@ -83,7 +67,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructTy
                 path, schema = derive(spark, sf_dir, n)
                 df = session.read.schema(schema).parquet(path)
             df.createOrReplaceTempView(n)
-        path = f"{shared_folder(spark)}/{zlib.crc32(sf_dir.encode()):08x}/{name}"
+        path = star_folder(spark, sf_dir, name)
         rows = session.sql(SPARK_FORM.get(name, RECIPES[name]))
         if name in LARGE:
             # At least one file per core, so that small scale factors are read in parallel too.
@@ -93,6 +77,11 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructTy
     return _written[key]
 
 
+def star_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where this application keeps what it has derived from the files in ``sf_dir``."""
+    return f"{shared_folder(spark)}/{zlib.crc32(sf_dir.encode()):08x}/{name}"
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def load(name: str) -> DataFrame:
         path, schema = derive(spark, sf_dir, name)

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotwise.operators.collation import EXACT, Comparison
 from lotwise.sources.schemas import LOOKUPS, TABLES, struct
 
 
 class Tables:
     """Named tables of one plant database.
 
-    ``rtrim`` and ``upper_keys`` bring the text of sources that compare without case and
+    ``compare`` says how plans compare texts: as they are, or without case and trailing blanks (``collation.LOOSE``), in
+    which case every text is still shown as the source has it. ``rtrim`` and ``upper_keys`` instead bring the text of sources that compare without case and
     trailing blanks to one form when a table is read, so that every later comparison is a plain
     binary one and keeps its Parquet pushdown.
 
@@ -28,11 +30,13 @@ class Tables:
         rtrim: bool = False,
         upper_keys: bool = False,
         absent: Collection[str] = (),
+        compare: Comparison = EXACT,
     ):
         if unknown := set(absent) - set(LOOKUPS):
             raise ValueError(f"only lookup tables can be absent, not {sorted(unknown)}")
         self._load = load
         self._absent = frozenset(absent)
+        self.compare = compare
         self._rtrim = rtrim
         self._upper_keys = upper_keys
         self._seen: dict[str, DataFrame] = {}

@@ -106,6 +106,27 @@ def test_repair_filters(spark):
     assert count(replaced_only=True) == 1
 
 
+def test_ids_first_texts_last(spark):
+    """Tests are scanned once; what is joined, counted, sorted and cut holds no texts but the record's label."""
+    t, p = tiny(spark), h.HistoryParams(**PARAMS, max_count=1)
+    seen = []
+    scans = []
+    counted = Tables(lambda name: scans.append(name) or t[name])
+    counted._seen = {}
+    rows = h.test_history(counted, p, stage=lambda df: seen.append(df.columns) or df.checkpoint())
+    assert [r.process_id for r in rows.collect()] == [200] and scans.count("qm_test_data") == 1
+    assert seen == [[*h.TEST_IDS, "data_label", "data_id"], h.ANALYSIS_IDS]
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "qm_test_data" not in text and "GlobalLimit 1" in text
+
+
+def test_lists_as_relations(spark):
+    one = lambda v, kind: spark.createDataFrame([(v,)], f"v {kind}")
+    count = lambda **kw: h.test_history(tiny(spark), h.HistoryParams(**PARAMS, **kw), h.Mode.REPAIR).count()
+    assert count(serial_numbers=one("SN1", "string"), materials=one(1, "long"), repair_users=one(5, "int")) == 1
+    assert count(serial_numbers=one("SN2", "string")) == count(materials=one(2, "long")) == 0
+
+
 def test_empty_total_is_null(spark):
     row = h.test_history(tiny(spark, qm_test_data=[]), h.HistoryParams(**PARAMS), h.Mode.TOTAL).first()
     assert tuple(row) == (None, None, None)
@@ -129,6 +150,9 @@ def test_staged_and_timed(spark, tmp_path):
         (200, 1, 0, 0),
         (100, 1, 1, 1),
     ]
+    path = str(tmp_path / "audit")
+    assert h.audited_history(t, p, h.Mode.ALL, 5, lambda df: df.count(), path) == 2
+    assert [(r.procedure, r.user_id) for r in spark.read.parquet(path).collect()] == [("test_history", 5)]
     n, audit = h.timed_history(t, p, h.Mode.ALL, 5, lambda df: df.count())
     assert n == 2 and audit["user_id"] == 5 and audit["start"] <= audit["end"]
 

@@ -1,38 +1,10 @@
 import datetime as dt
 
 from lotwise.sources import sinks
-from lotwise.sources.schemas import REPORT
 
 AS_OF = dt.datetime(2025, 1, 9, 8)
 
 
-def report_rows(spark, *days):
-    rows = [("AS1", "1", "V", "M", 5, 1, d, AS_OF, AS_OF.date()) for d in days]
-    return spark.createDataFrame(rows, REPORT)
-
-
-def test_history_of_days(spark, tmp_path):
-    path = str(tmp_path / "history")
-    old, new = dt.date(2023, 1, 9), dt.date(2025, 1, 8)
-    sinks.write_daily(report_rows(spark, old, new), path)
-    sinks.write_daily(report_rows(spark, new), path)
-    assert spark.read.parquet(path).count() == 2
-    sinks.write_daily(report_rows(spark, new), path, append=True)
-    assert spark.read.parquet(path).count() == 3
-    assert sinks.drop_expired(spark, path, AS_OF) == [old]
-    left = spark.read.parquet(path).select("start_date").distinct().collect()
-    assert [r[0] for r in left] == [new]
-    assert sinks.drop_expired(spark, path, AS_OF) == []
-
-
-def test_day_without_rows_is_emptied(spark, tmp_path):
-    path = str(tmp_path / "history")
-    day, other = dt.date(2025, 1, 8), dt.date(2025, 1, 7)
-    sinks.write_daily(report_rows(spark, day, other), path)
-    sinks.write_daily(report_rows(spark, day).limit(0), path, days=[day])
-    assert [r[0] for r in spark.read.parquet(path).select("start_date").collect()] == [other]
-
-
 def test_audit(spark, tmp_path):
     path = str(tmp_path / "audit")
     for _ in range(2):
