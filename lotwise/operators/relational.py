@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lotwise.constants import ABORT, FAIL, PASS
 from lotwise.operators.collation import EXACT, Comparison
+from lotwise.operators.intervals import micros
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -41,12 +44,31 @@ def top1(df: DataFrame, rank: str = "sort") -> DataFrame:
     return df.filter(F.col(rank) == 1)
 
 
-def latest_load(df: DataFrame, keys: Sequence[str], compare: Comparison = EXACT) -> DataFrame:
-    """The first row of ``rank_latest_load`` as an aggregation: keys, load_time, grn_id.
+#: Lot ids, moved up by LOT_SHIFT, stay below LOTS.
+LOTS, LOT_SHIFT = 2 * 10**19, 2**63
+EPOCH = dt.date(1970, 1, 1)
 
-    "Latest" is a maximum, so it is combined before the shuffle and a hot key shrinks to one
-    row per task. Use this where only lot and time are needed.
-    """
+
+def load_rank(load_time: str = "load_time", grn_id: str = "grn_id") -> Column:
+    """Load time and lot id as one number that orders like the two. Its maximum is kept in a hash table, whereas that of a
+    struct has Spark sort the rows."""
+    time = micros(F.col(load_time), EPOCH).cast("decimal(19,0)")
+    lot = F.col(grn_id).cast("decimal(20,0)") + F.lit(Decimal(LOT_SHIFT))
+    return (time * F.lit(Decimal(LOTS)) + lot).cast("decimal(38,0)")
+
+
+def lot_of(rank: str = "rank") -> Column:
+    return (F.pmod(F.col(rank), F.lit(Decimal(LOTS))) - F.lit(Decimal(LOT_SHIFT))).cast("long")
+
+
+def latest_rank(df: DataFrame, keys: Sequence[str], compare: Comparison = EXACT) -> DataFrame:
+    """Keys and the greatest ``rank``: combined before the shuffle, so a hot key shrinks to one row per task."""
+    return compare.grouped(df, keys, F.max("rank").alias("rank"))
+
+
+def latest_load(df: DataFrame, keys: Sequence[str], compare: Comparison = EXACT) -> DataFrame:
+    """The first row of ``rank_latest_load`` as an aggregation: keys, load_time, grn_id. Use this where only lot and
+    time are needed; without the time ``latest_rank`` does."""
     best = F.max(F.struct("load_time", "grn_id")).alias("best")
     return compare.grouped(df, keys, best).select(*keys, "best.load_time", "best.grn_id")
 

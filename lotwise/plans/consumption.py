@@ -16,7 +16,7 @@ from lotwise.constants import EQUIPMENT_SETUP, REPLACEMENT, REPORT_CUSTOMERS, RO
 from lotwise.functions.scalars import DateLike, as_date, in_list, in_window
 from lotwise.operators.collation import EXACT, Comparison
 from lotwise.operators.intervals import TimeGrid, active_within, is_edge, on_at, time_grid
-from lotwise.operators.relational import count_by, latest_load, union_bag
+from lotwise.operators.relational import count_by, latest_rank, load_rank, lot_of, union_bag
 from lotwise.sources.tables import Tables
 
 # Keys that differ most come first: sorting and hashing compare them first.
@@ -173,12 +173,12 @@ def loads_by_block(t: Tables, grid: TimeGrid, routes: Sequence[LoadRoute] = LOAD
     """Loads of known lots that touch the grid, one row per time block they cover. The times of the
     load stand in ``since`` and ``removal_time`` at edges only, where they are compared."""
     loads = union_bag(*[r.load_history(t).filter(active_within("load_time", "removal_time", grid)) for r in routes])
-    loads = loads.join(known_lots(t), "grn_id", "left_semi")
+    loads = loads.join(known_lots(t), "grn_id", "left_semi").withColumn("rank", load_rank())
     return grid.covering(loads, "load_time", "removal_time").select(
         *BLOCK_KEYS,
         "slot",
-        "load_time",
         "grn_id",
+        "rank",
         F.when(is_edge(), F.col("load_time")).alias("since"),
         F.when(is_edge(), F.col("removal_time")).alias("removal_time"),
     )
@@ -201,15 +201,15 @@ def loaded_positions(
         return None
     positions = union_bag(*[r.slot_positions(t) for r in routes])
     edge = ["since", "removal_time"]
-    best = latest_load(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot", *edge])
+    best = latest_rank(loads_by_block(t, grid, routes), [*BLOCK_KEYS, "slot", *edge])
     looks = grid.ticks(setups_of_steps(t, steps, routes), STEP_TIMES).select(
         *CELL_KEYS, *STEP_TIMES, "run_date", "wip_id", "serial_number"
     )
     cells = grid.blocks_of(looks.select(*CELL_KEYS).distinct())
-    found = latest_load(cells.join(best, BLOCK_KEYS), [*CELL_KEYS, "slot", *edge])
+    found = latest_rank(cells.join(best, BLOCK_KEYS), [*CELL_KEYS, "slot", *edge])
     found = found.join(positions, ["setup_id", "slot", "branch"]).drop("slot")
     on = looks.join(found, CELL_KEYS).filter(on_at(STEP_TIMES, *edge))
-    latest = latest_load(on, POSITION_KEYS, t.compare)
+    latest = latest_rank(on, POSITION_KEYS, t.compare).select(*POSITION_KEYS, lot_of().alias("grn_id"))
     return t.compare.joined(latest, replaced_positions(t), ["wip_id", "crd"], "left_anti")
 
 

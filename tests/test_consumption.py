@@ -138,6 +138,23 @@ def test_latest_load_is_rank_one(star, spark):
     assert ranked.count() == best.count()
 
 
+def test_rank_orders_like_time_and_lot(spark):
+    from pyspark.sql import functions as F
+
+    from lotwise.operators.relational import load_rank, lot_of
+
+    times = ["1969-12-31 23:59:59.999999", "2025-03-30 02:30:00", "2025-03-30 03:30:00", "2025-01-08 10:00:00.000001", "9999-12-31 23:59:59"]
+    rows = [(dt.datetime.fromisoformat(x), lot) for x in times for lot in (-(2**63), -1, 0, 7, 2**63 - 1)]
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame(rows, "load_time timestamp_ntz, grn_id long").withColumn("rank", load_rank())
+        got = [tuple(r) for r in df.orderBy("rank").select("load_time", "grn_id", lot_of().alias("lot")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [g[:2] for g in got] == sorted(rows) and all(g[1] == g[2] for g in got)
+    assert df.select(F.countDistinct("rank")).first()[0] == len(rows)
+
+
 def test_edge_normalisation(spark):
     rows = spark.createDataFrame([(1, "sn1  ", 68, 0)], "wip_id long, serial_number string, customer_id int, rma int")
     t = Tables.of({"wp_wip": rows}, rtrim=True, upper_keys=True)
