@@ -22,10 +22,15 @@ def op2() -> str:
         for k, (w, label, base) in enumerate(texts)
         for at in range(len(w) - lic.GRAM + 1)
     )
+    near = ", ".join(f"({k}, {lic.near_of(len(w) - lic.GRAM + 1)})" for k, (w, _, _) in enumerate(texts))
+    # One row per thing that a span of the template must hold: any of these places.
+    asked = ", ".join(f"({k}, {places})" for k, (own, numbers) in enumerate(lic.demands(texts)) for places in ([own] if own else []) + numbers)
     return rf"""
 WITH known(gram, template, spot, label, base, n_grams) AS (VALUES {grams}),
+nearness(template, near) AS (VALUES {near}),
+asked(template, places) AS (VALUES {asked}),
 worded AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
 ),
 places AS (
   SELECT doc_id, words, unnest(range(1, greatest(len(words) - {lic.GRAM} + 2, 1))) AS i FROM worded
@@ -39,27 +44,31 @@ votes AS (
   SELECT doc_id, template, label, base, n_grams, diagonal, list(DISTINCT spot) AS found FROM hits GROUP BY ALL
 ),
 begun AS (
-  SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER w > {lic.NEAR}, true) THEN 1 ELSE 0 END AS starts
-  FROM votes WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
+  SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER w > near, true) THEN 1 ELSE 0 END AS starts
+  FROM votes JOIN nearness USING (template) WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)
 ),
 numbered AS (
   SELECT *, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM begun
 ),
 spans AS (
   SELECT doc_id, template, label, base, n_grams, span, min(diagonal) AS start,
-         len(list_distinct(flatten(list(found)))) AS found
-  FROM numbered GROUP BY ALL
+         list_distinct(flatten(list(found))) AS spots
+  FROM numbered GROUP BY doc_id, template, label, base, n_grams, span
+),
+unmet AS (
+  SELECT DISTINCT s.doc_id, s.template, s.span FROM spans s JOIN asked a USING (template) WHERE NOT list_has_any(s.spots, a.places)
 ),
 verified AS (
-  SELECT *, base AND found = n_grams AS place, (base AND found = n_grams) OR (NOT base AND found / n_grams >= {lic.ENOUGH}) AS holds
-  FROM spans
+  SELECT *, base AND found = n_grams AS place, (base AND found = n_grams) OR (NOT base AND met AND found / n_grams >= {lic.ENOUGH}) AS holds
+  FROM (SELECT s.*, len(spots) AS found, u.span IS NULL AS met
+        FROM spans s LEFT JOIN unmet u ON u.doc_id IS NOT DISTINCT FROM s.doc_id AND u.template = s.template AND u.span = s.span)
 ),
 summed AS (
   SELECT doc_id, count(*) FILTER (place) AS n_base, min(start) FILTER (place) AS first_word,
          max(start) FILTER (place) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place) AS base_labels,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (holds) AS labels,
-         max(CASE WHEN base THEN place::INT::DOUBLE ELSE found / n_grams END) AS score
+         max(CASE WHEN base THEN place::INT::DOUBLE WHEN met THEN found / n_grams END) AS score
   FROM verified GROUP BY doc_id
 )
 SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,

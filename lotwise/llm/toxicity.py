@@ -12,16 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm import boosting
-from lotwise.llm.labelled import MOST_LABELLED, labelled_sample
+from lotwise.llm.labelled import MOST_LABELLED, TASKS, labelled_sample
 from lotwise.llm.statistics import held_out
 from lotwise.llm.tables import checkpointed, text_or_empty
 from lotwise.llm.words import Spans, Texts, groups, mixed
 
 #: Score from which on a document is rejected.
 REJECT = 0.7
-#: Words and word beginnings in a learned lexicon, at most: those with the largest log-odds.
-MOST_LEXICON = 5_000
-#: Log-odds of a lexicon entry, and the share of toxic texts (with the number of texts) it must occur in.
+#: Log-odds of a lexicon entry, and the share of toxic texts (with the number of texts) it must occur in. The share bounds a
+#: lexicon: it holds no more entries than 1 / LEAST_SHARE toxic texts have different words and word beginnings.
 LEAST_ODDS, LEAST_SHARE, LEAST_TEXTS = 3.0, 0.005, 3
 #: Lengths in bytes of the word beginnings that a lexicon holds besides whole words: they catch inflected forms.
 BEGINNINGS = (4, 5, 6)
@@ -247,7 +246,7 @@ class Toxicity:
 
 
 def _count_tokens(sample: DataFrame) -> pd.DataFrame:
-    """Token counts of a sample that pass for one of three lexicons: of either fold, and of both."""
+    """Keys of a sample with their log-odds (column per lexicon, null if they don't pass): of either fold, and of both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,22 +260,22 @@ def _count_tokens(sample: DataFrame) -> pd.DataFrame:
     summed = counts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
     sizes = {(r["learn_label"], r["fold"]): r["count"] for r in sample.groupBy("learn_label", "fold").count().collect()}
     n = {f"{name}_{f}": float(sizes.get((v, f), 0)) for name, v in (("toxic", 1), ("clean", 0)) for f in (0, 1)}
-    parts = []
+    odds_of = {}
     for which, folds in (("0", (0,)), ("1", (1,)), ("all", (0, 1))):
         toxic, clean = (sum((F.col(f"{c}_{f}") for f in folds), F.lit(0)) for c in ("toxic", "clean"))
         n_toxic, n_clean = (sum(n[f"{c}_{f}"] for f in folds) for c in ("toxic", "clean"))
         odds = F.log((toxic + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
         enough = max(LEAST_TEXTS, LEAST_SHARE * n_toxic)
-        passing = summed.filter(toxic >= enough).select(F.lit(which).alias("lexicon"), "key", odds.alias("odds"))
-        parts.append(passing.filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "key").limit(MOST_LEXICON))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).toPandas()
+        odds_of[which] = F.when((toxic >= enough) & (odds >= LEAST_ODDS), odds).alias(which)
+    passing = summed.select("key", *odds_of.values())
+    return passing.filter(" OR ".join(f"`{which}` IS NOT NULL" for which in odds_of)).toPandas()
 
 
 def _lexicon(counts: pd.DataFrame, which: str) -> Lexicon:
-    own = counts[counts["lexicon"] == which]
+    own = counts[counts[which].notna()]
     keys = own["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Lexicon(keys[order], own["odds"].to_numpy(float)[order])
+    return Lexicon(keys[order], own[which].to_numpy(float)[order])
 
 
 def learn_toxicity(
@@ -290,7 +289,7 @@ def learn_toxicity(
     """
     sample = labelled_sample(docs, labels, label, id_col, text_col, most).withColumn("learn_text", text_or_empty("learn_text"))
     sample = sample.dropDuplicates(["learn_text"]).withColumn("fold", F.pmod(F.xxhash64("learn_text"), F.lit(2)))
-    sample = checkpointed(sample)
+    sample = checkpointed(sample.repartition(TASKS, "learn_id"))
     counts = _count_tokens(sample)
     lexicons = {f: _lexicon(counts, str(1 - f)) for f in (0, 1)}
 

@@ -102,6 +102,23 @@ def test_license_text_with_changes_is_found(spark):
     assert row["labels"] == "mit" and row["base_labels"] == "" and 0.8 < row["score"] < 1
 
 
+def test_licenses_are_told_apart(spark):
+    """Near relatives, other versions, words put in, and letters outside ASCII."""
+    mit = license_scan.TEMPLATES["mit"][0].split()
+    texts = [
+        "licensed under a creative commons attribution noncommercial 4 0 international license",
+        "licensed under a creative commons attribution 4 0 international license",
+        "licensed under the apache license version 1 1",
+        "Licensed under the Apache License, Version 2.0",
+        " ".join([*mit[:24], "and", "here", "five", "words", "more", *mit[24:]]),
+        "UNDER THE MIT LİCENSE, under the mit licensÉ, UNDER THE MIT LICENSE",
+    ]
+    rows = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r["doc_id"]: (r["labels"], r["base_labels"], r["n_base"]) for r in rows}
+    assert [found[k][0] for k in range(5)] == ["cc-by-nc", "cc-by", "", "apache-2", "mit"]
+    assert found[3][1:] == ("apache-2", 1) and found[5] == ("mit", "mit", 1)
+
+
 def test_mixing(spark, docs, empty):
     rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "big").otherwise("small").alias("source"))
     mixed = mixing.mix_sources(rows, {"big": 1.0, "small": 3.0}, seed=5)
@@ -392,3 +409,14 @@ def test_pipeline(spark, docs, empty):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"] and out.count() > 50
     assert oracle.OP1 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pieces_alone_in_a_shard_need_no_automaton():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        size = int(rng.integers(substring_dedup.WINDOW, substring_dedup.WINDOW + substring_dedup.PIECE))
+        period = int(rng.integers(1, 20))
+        words = [f"w{i % period}" for i in range(size)] if rng.random() < 0.7 else [f"w{i}" for i in range(size)]
+        for n in (1, 3):
+            found = substring_dedup.alone_mask(" ".join(words), n)
+            assert found is None or found == substring_dedup.shard_masks([(" ".join(words), n)])[0]
