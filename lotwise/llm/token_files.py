@@ -62,10 +62,11 @@ def pack_block(ids: np.ndarray) -> bytes:
     fits = int(np.partition(distance, k := (len(ids) - 1) * PERCENTILE // 100)[k])
     width = fits.bit_length()
     places = np.flatnonzero(distance >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    bits = (distance[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
+    held = distance.astype("<u2" if width <= 16 else "<u4")
+    bits = np.unpackbits(held.view(np.uint8).reshape(len(ids), -1), axis=1, count=width, bitorder="little")
     return b"".join((
         struct.pack(_HEAD, len(ids), len(places), least, width),
-        np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes(),
+        np.packbits(bits.ravel(), bitorder="little").tobytes(),
         places.astype("<u2").tobytes(),
         distance[places].astype("<u4").tobytes(),
     ))
@@ -75,8 +76,10 @@ def unpack_block(block: bytes) -> np.ndarray:
     n, n_exceptions, least, width = struct.unpack_from(_HEAD, block)
     after = struct.calcsize(_HEAD) + (n * width + 7) // 8
     packed = np.frombuffer(block, np.uint8, after - struct.calcsize(_HEAD), struct.calcsize(_HEAD))
-    bits = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
-    distance = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    room = 16 if width <= 16 else 32
+    bits = np.zeros((n, room), np.uint8)
+    bits[:, :width] = np.unpackbits(packed, count=n * width, bitorder="little").reshape(n, width)
+    distance = np.packbits(bits.ravel(), bitorder="little").view("<u2" if room == 16 else "<u4").astype(np.uint32)
     if n_exceptions:
         places = np.frombuffer(block, "<u2", n_exceptions, after)
         distance[places] = np.frombuffer(block, "<u4", n_exceptions, after + 2 * n_exceptions)
