@@ -25,9 +25,9 @@ ROWS, BANDS = 6, 30
 SMALL = 32
 #: Texts outside a bucket's largest class that are compared at once, and texts that they are compared with.
 BLOCK, CHUNK = 256, 1024
-#: Registers, of 180, in which signatures must agree before bags are compared. A pair at 0.8 agrees in fewer once in
-#: 40,000 cases, less often than it shares no band.
-AGREEING = 122
+#: Registers, of 180, in which signatures must agree before the bags of a large bucket are compared. A pair at 0.8 agrees
+#: in fewer once in 590 million cases, so that large buckets lose no more than small ones, where all bags are compared.
+AGREEING = 110
 #: Bits per key in filters, and their largest size (128 MB).
 BITS_PER_KEY, MOST_BITS = 16, 2**30
 
