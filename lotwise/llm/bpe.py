@@ -16,10 +16,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.tables import kept_in_process, text_or_empty
+from lotwise.llm.tables import kept_in_process, lean, text_or_empty
 
 #: Encoded words that a task remembers, in two generations of so many.
-REMEMBERED = 100_000
+REMEMBERED = 80_000
 #: White space as the tokenizer's patterns understand it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: what the tokenizer treats as a word.
@@ -259,4 +259,4 @@ def _encoding(docs: DataFrame, tokenizer_path: str, digests: bool):
                 columns = [part.column("encoded_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["encoded_id", "n_tokens", *last])
 
-    return run
+    return lean(run)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.components import components
 from lotwise.llm.exact_dedup import digest_of, digests
-from lotwise.llm.tables import bitmap_size, bitmap_table, checkpointed, text_or_empty, with_bit
+from lotwise.llm.tables import bitmap_size, bitmap_table, checkpointed, lean, text_or_empty, with_bit
 from lotwise.llm.words import Words, groups, mixed, spans_hash
 
 #: Words in a shingle. One that occurs n times in a text weighs 1 + ln n there, so that a line repeated many times does
@@ -136,7 +136,7 @@ def _by_text(rows: DataFrame, name: str, kind: str, make) -> DataFrame:
                 w = Words(batch.column("text")[lo:hi])
                 yield pa.RecordBatch.from_arrays([batch.column("digest")[lo:hi], make(w)], ["digest", name])
 
-    made = rows.select("digest", "text").mapInArrow(run, f"digest binary, {name} {kind}")
+    made = rows.select("digest", "text").mapInArrow(lean(run), f"digest binary, {name} {kind}")
     return made.groupBy("digest").agg(F.first(name).alias(name))
 
 
@@ -234,7 +234,7 @@ def _links(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             pair = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("center")], ["a", "b"])
             yield pair.filter(pa.array(same, pa.bool_()))
 
-    return checkpointed(both.mapInArrow(run, "a long, b long"))
+    return checkpointed(both.mapInArrow(lean(run), "a long, b long"))
 
 
 def linked_texts(rows: DataFrame) -> DataFrame:

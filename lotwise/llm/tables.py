@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,23 @@ def kept_in_process(key: Hashable, make: Callable[[], Kept]) -> Kept:
     return memory[key]
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a task of ``mapInArrow`` that gives back, at its end, what its worker process no longer uses. Workers
+    wait for further tasks, several beside one executor, and what the allocators of all hold on to adds up."""
+
+    def leaner(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return leaner
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

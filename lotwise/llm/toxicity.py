@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from lotwise.llm import boosting
 from lotwise.llm.labelled import MOST_LABELLED, TASKS, labelled_sample
 from lotwise.llm.statistics import held_out
-from lotwise.llm.tables import checkpointed, text_or_empty
+from lotwise.llm.tables import checkpointed, lean, text_or_empty
 from lotwise.llm.words import Spans, Texts, groups, mixed
 
+#: Texts are scored in groups of about so many bytes.
+SCORED_BYTES = 1 << 18
 #: Score from which on a document is rejected.
 REJECT = 0.7
 #: Log-odds of a lexicon entry, and the share of toxic texts (with the number of texts) it must occur in. The share bounds a
@@ -256,7 +258,7 @@ def _count_tokens(sample: DataFrame) -> pd.DataFrame:
 
     names = ["toxic_0", "toxic_1", "clean_0", "clean_1"]
     counted = sample.select("learn_text", F.col("learn_label").cast("int"), F.col("fold").cast("int"))
-    counts = counted.mapInArrow(run, ", ".join(f"{c} long" for c in ["key", *names]))
+    counts = counted.mapInArrow(lean(run), ", ".join(f"{c} long" for c in ["key", *names]))
     summed = counts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
     sizes = {(r["learn_label"], r["fold"]): r["count"] for r in sample.groupBy("learn_label", "fold").count().collect()}
     n = {f"{name}_{f}": float(sizes.get((v, f), 0)) for name, v in (("toxic", 1), ("clean", 0)) for f in (0, 1)}
@@ -305,7 +307,7 @@ def learn_toxicity(
 
     kinds = "learn_label int, fold int, " + ", ".join(f"{c} double" for c in FEATURES)
     known = sample.select("learn_text", F.col("learn_label").cast("int"), F.col("fold").cast("int"))
-    known = known.mapInArrow(run, kinds).toPandas()
+    known = known.mapInArrow(lean(run), kinds).toPandas()
     return fit_toxicity(known[FEATURES].to_numpy(float), known["learn_label"].to_numpy(float), known["fold"].to_numpy(), _lexicon(counts, "all"))
 
 
@@ -340,20 +342,21 @@ def _scorer(model: Toxicity, text: str, keep: list[str], below: float | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in groups(batch.column(text)):
-                score = model.score(batch.column(text)[lo:hi])
+            texts = batch.column(text).fill_null("")
+            for lo, hi in groups(texts, SCORED_BYTES):
+                score = model.score(texts[lo:hi])
                 columns = [batch.column(c)[lo:hi] for c in keep]
                 if below is None:
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], [*keep, "score"])
                 else:
                     yield pa.RecordBatch.from_arrays(columns, keep).filter(pa.array(score < below))
 
-    return run
+    return lean(run)
 
 
 def drop_toxic(docs: DataFrame, model: Toxicity, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with their columns, that score below REJECT."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip([*names, "scored_text"], [*docs.schema, docs.schema[text_col]], strict=True) if n != "scored_text")
-    rows = docs.select(text_or_empty(text_col).alias("scored_text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    return rows.mapInArrow(_scorer(model, "scored_text", names, REJECT), kinds).toDF(*docs.columns)
+    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
+    rows = docs.toDF(*names)
+    return rows.mapInArrow(_scorer(model, names[docs.columns.index(text_col)], names, REJECT), kinds).toDF(*docs.columns)

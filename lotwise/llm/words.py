@@ -44,12 +44,12 @@ def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return Spans(values).hash(start, end)
 
 
-def groups(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about GROUP_BYTES of text each."""
+def groups(column: pa.Array, most: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes of text each."""
     size = np.diff(_offsets(column))
     first, held = 0, 0
     for i, n in enumerate(size):
-        if i > first and held + n > GROUP_BYTES:
+        if i > first and held + n > most:
             yield first, i
             first, held = i, 0
         held += n
