@@ -167,4 +167,23 @@ def test_zoned_times_become_local(spark):
     assert t["wp_wip_route_steps"].schema["start_time"].dataType.simpleString() == "timestamp_ntz"
 
 
+def test_loads_of_a_slot_share_their_edges(spark):
+    """However many loads were taken off at one moment, a step there meets few of them."""
+    from lotwise.operators.intervals import is_edge, time_grid
+
+    loads = [(lot, f"0{lot % 10}:{lot // 10:02}", "12:00") for lot in range(100, 400)] + [(400, "11:00", "13:00")]
+    steps = [(1, "12:00", "12:01"), (2, "12:14", "12:20")]
+    tables = plant(steps, loads) | dict(cr_grns=[(lot, f"G{lot}", 1, "V", "M") for lot, _, _ in loads])
+    t = empty_tables(spark, **tables)
+    grid = time_grid(cons.wip_steps(t, *DAY), cons.STEP_TIMES)
+    ends = cons.loads_by_block(t, grid).filter(is_edge()).filter("grn_id < 400 AND shiftright(block, 6) = 48")
+    assert ends.count() == 300 and ends.select("since", "removal_time").distinct().count() == 1
+    assert detail(t) == [(8, 1, "C1", "G400", "EquipmentSetup"), (8, 2, "C1", "G400", "EquipmentSetup")]
+    cells = ends.withColumn("tick", cons.F.shiftright("block", 6))
+    kept = [*cons.CELL_KEYS, "slot", "since", "removal_time", "rank"]
+    whole = cells.withColumns({c: cons.F.lit(None).cast("timestamp_ntz") for c in ("since", "removal_time")})
+    older, newer = cells.filter("grn_id = 100").select(kept), whole.filter("grn_id = 309").select(kept)
+    assert cons._not_outdone(older.union(newer)).count() == 1 and cons._not_outdone(older).count() == 1
+
+
 pytestmark = pytest.mark.usefixtures("interpreted")
