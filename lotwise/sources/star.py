@@ -47,6 +47,17 @@ def needs(name: str) -> list[str]:
     return [n for n in (*STAR, *RECIPES) if n in words and n != name]
 
 
+# Input per core from which a scan of lineitem has work for every core as it is.
+PER_CORE = 4_000_000
+
+
+def _spread(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether lineitem is large enough for the scan's own splits. Files then need not be dealt again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/lineitem.parquet")
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return size >= PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def _splits(spark: SparkSession, sf_dir: str) -> int:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").rdd.getNumPartitions()
 
@@ -69,7 +80,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructTy
             df.createOrReplaceTempView(n)
         path = star_folder(spark, sf_dir, name)
         rows = session.sql(SPARK_FORM.get(name, RECIPES[name]))
-        if name in LARGE:
+        if name in LARGE and not _spread(spark, sf_dir):
             # At least one file per core, so that small scale factors are read in parallel too.
             rows = rows.repartition(max(_splits(spark, sf_dir), spark.sparkContext.defaultParallelism))
         rows.write.mode("overwrite").parquet(path)

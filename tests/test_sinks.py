@@ -23,3 +23,17 @@ def test_exports(spark, tmp_path):
     folder = sinks.export_weekly(week, str(tmp_path), dt.date(2025, 1, 9))
     assert folder.endswith("weekly_2025-01-06")
     assert [r.row_type for r in spark.read.csv(folder, header=True).collect()] == ["Detail", "Total"]
+
+
+def test_large_input_is_not_dealt_again(spark, monkeypatch):
+    from conftest import SMALL
+
+    from lotwise.sources import star
+
+    assert not star._spread(spark, SMALL)
+    dealt = star.star_tables(spark, SMALL)["qm_repair"]
+    monkeypatch.setattr(star, "PER_CORE", 1)
+    assert star._spread(spark, SMALL)
+    again = star.star_tables(spark, f"{SMALL}/.")["qm_repair"]
+    assert sorted(map(str, again.collect())) == sorted(map(str, dealt.collect()))
+    assert len(again.inputFiles()) < len(dealt.inputFiles())
