@@ -35,6 +35,33 @@ def tiny(spark, **more):
     return empty_tables(spark, **(tables | more))
 
 
+def test_texts_of_small_tables_move_last(spark):
+    """Large tables are joined while rows are narrow: few shuffles carry the assembly's texts."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "1000"}
+    keep = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        rows = h.test_history(tiny(spark), h.HistoryParams(**PARAMS), stage=lambda df: df)
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    lines = text.splitlines()
+    # Each shuffle of joined rows stands above the projection that says what it carries.
+    wide = [i for i, x in enumerate(lines) if "Exchange" in x and any("revision" in y and "analysis_id" in y for y in lines[i + 1 : i + 3])]
+    assert 1 <= len(wide) <= 4
+
+
+def test_an_analysis_that_cannot_be_named_goes(spark):
+    """Of two rows of one analysis the one with an unknown material is left out, as it was when texts were joined first."""
+    known, unknown = (70, 1, 0, 1, 6, "C1", 0, 0, 0, "D", at("12:00")), (70, 99, 0, 1, 6, "C2", 0, 0, 0, "D", at("12:00"))
+    p = h.HistoryParams(**PARAMS)
+    found = h.test_history(tiny(spark, qm_analysis=[known, unknown]), p, stage=lambda df: df).collect()
+    assert [(r.wip_id, r.analysis_id, r.material, r.defect_location) for r in found if r.analysis_id] == [(1, 70, "AS100", "C1")]
+    assert [r.wip_id for r in found if r.analysis_id is None] == [2]
+
+
 def test_mode_order():
     assert h.choose_mode() is h.Mode.ALL
     assert h.choose_mode(analysis=True, repair=True) is h.Mode.REPAIR
