@@ -26,6 +26,18 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 
 
+def char_class(chars: Iterable[str]) -> str:
+    """What stands in brackets of a pattern for just these characters of the basic plane. Python's patterns look such a class
+    up in a table, whatever its size."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 characters for themselves, others from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}

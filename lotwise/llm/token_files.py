@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.bpe import byte_letters
+from lotwise.llm.bpe import byte_letters, char_class
 from lotwise.llm.tables import checkpoint_folder, kept_in_process, text_or_empty
 
 #: Ids in a block.
@@ -52,7 +52,14 @@ KNOWN = r"\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2010-\u2027\u203
 #: Fixed value: how byte-level BPE cuts a text, for KNOWN characters.
 WORDS = r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 #: Words that a worker process remembers, in two generations of about so many.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
+
+
+def known_words() -> re.Pattern:
+    """WORDS with the classes of its letters and signs spelled out, for KNOWN characters."""
+    known = "".join(re.findall(f"[{KNOWN}]", "".join(map(chr, range(0x2060)))))
+    letter, sign = (char_class(re.findall(p, known)) for p in (r"[^\W\d_]", r"[^\s\w]|_"))
+    return re.compile(rf" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?[{sign}]+|\s+(?!\S)|\s+")
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -206,7 +213,7 @@ class WordEncoder(dict):
         file = json.loads(file_text)
         first = file["pre_tokenizer"] or {}
         usual = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not file["normalizer"]
-        self.words = re.compile(WORDS).findall if usual else None
+        self.words = known_words().findall if usual else None
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)

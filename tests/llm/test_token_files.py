@@ -37,6 +37,12 @@ def test_outliers_are_exceptions():
     assert len(token_files.pack_block(np.arange(1024, dtype=np.uint32) % 16 + 9)) < 1024
 
 
+def test_known_characters_are_cut_by_spelled_out_classes():
+    known = re.findall(f"[{token_files.KNOWN}]", "".join(map(chr, range(0x2060))))
+    text = "".join(f"{c}a {c}1 {c}{c}'ll_{c}  {c}\n" for c in known)
+    assert token_files.known_words().findall(text) == re.compile(token_files.WORDS).findall(text)
+
+
 class Kept(io.BytesIO):
     def close(self):
         self.kept = self.getvalue()
