@@ -6,6 +6,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,6 +27,10 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 
 
+#: Characters beyond the basic plane.
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
 def char_class(chars: Iterable[str]) -> str:
     """What stands in brackets of a pattern for just these characters of the basic plane. Python's patterns look such a class
     up in a table, whatever its size."""
@@ -38,6 +43,13 @@ def char_class(chars: Iterable[str]) -> str:
     return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs)
 
 
+def plane_word() -> re.Pattern:
+    """WORD for texts without characters beyond the basic plane, with its classes spelled out."""
+    plane = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    space, letter, number = (char_class(regex.findall(p, plane)) for p in (f"[{SPACE}]", r"\p{L}", r"\p{N}"))
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 characters for themselves, others from U+0100 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -163,8 +175,8 @@ class Encoder(dict):
         self.letters = dict(enumerate(byte_letters()))
         self.special = vocabulary.special
         self.decoder = Decoder({i: t for t, i in (*vocabulary.ids.items(), *vocabulary.special.items())})
-        self.word = regex.compile(WORD)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") if vocabulary.special else None
+        self.word, self.plane_word = regex.compile(WORD), plane_word()
+        self.cut = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
 
     def __missing__(self, word: str) -> tuple[str, str]:
         found = self.older.get(word)
@@ -183,21 +195,22 @@ class Encoder(dict):
         letters[-1] += self.vocabulary.suffix
         return (self.vocabulary.ids[t] for t in self.transducer.stream(letters))
 
-    def words(self, text: str) -> Iterator[str]:
+    def words(self, text: str) -> list[str]:
         """Words of a text: strings that are never cut, and the words between them after NFC and in lower case."""
-        parts = self.cut.split(text) if self.cut else [text]
-        for k, part in enumerate(parts):
-            if k % 2:
-                yield part
-            elif part.isascii():
-                yield from self.word.findall(part.lower())
-            else:
-                # Sigma apart, as lower() would make a final one of the last in a word.
-                yield from self.word.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+        if self.cut is None or not self.cut.search(text):
+            return self._between(text)
+        return [w for k, part in enumerate(self.cut.split(text)) for w in ([part] if k % 2 else self._between(part))]
+
+    def _between(self, part: str) -> list[str]:
+        if part.isascii():
+            return self.plane_word.findall(part.lower())
+        # Sigma apart, as lower() would make a final one of the last in a word.
+        low = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+        return (self.word if _BEYOND.search(low) else self.plane_word).findall(low)
 
     def encode(self, text: str) -> tuple[str, str]:
         """(decimal ids joined by one space, decoded text) of a whole text."""
-        found = [self[w] for w in self.words(text)]
+        found = list(map(self.__getitem__, self.words(text)))
         return " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
 
 
@@ -263,8 +276,8 @@ def _encoding(docs: DataFrame, tokenizer_path: str, digests: bool):
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 sizes, ids, decoded = [], [], []
-                for value in part.column("encoded_text"):
-                    a, b = encoder.encode(value.as_py())
+                for value in part.column("encoded_text").to_pylist():
+                    a, b = encoder.encode(value)
                     sizes.append(a.count(" ") + 1 if a else 0)
                     ids.append(sha(a) if digests else a)
                     decoded.append(sha(b) if digests else b)

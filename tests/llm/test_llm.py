@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -291,6 +292,13 @@ def test_bpe_equals_the_library(spark, docs, empty, tokenizer):
     assert bpe.encode_digests(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_bpe_classes_are_spelled_out():
+    plane = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000)
+    mixed = "".join(f"{c}a'{c}1{c}ll" for c in plane)
+    usual, spelled = regex.compile(bpe.WORD), bpe.plane_word()
+    assert spelled.findall(plane) == usual.findall(plane) and spelled.findall(mixed) == usual.findall(mixed)
+
+
 def test_bpe_streams_and_decodes(tokenizer):
     _, encoder, vocabulary = tokenizer
     rng = np.random.default_rng(2)
