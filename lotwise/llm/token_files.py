@@ -44,6 +44,8 @@ _HEAD = "<HHIB"
 _FOOT = "<QQQ8s"
 #: Texts are encoded in parts of about so many characters, cut where no token can span the cut.
 GROUP_CHARS = 1 << 20
+#: Texts or parts are cut into words together, about so many characters at once.
+TOGETHER_CHARS = 1 << 22
 #: A blank between two ASCII letters: the patterns of byte-level BPE begin a new piece there, whatever surrounds it.
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 #: ASCII, Latin, Greek and Cyrillic letters and common signs, of the same class in all tables of Unicode. Left out are the few
@@ -56,12 +58,72 @@ REMEMBERED = 400_000
 
 
 def known_words() -> re.Pattern:
-    """WORDS with the classes of its letters and signs spelled out, for KNOWN characters."""
+    """WORDS with the classes of its letters and signs spelled out, for KNOWN characters: the words that ``word_starts`` finds."""
     known = "".join(re.findall(f"[{KNOWN}]", "".join(map(chr, range(0x2060)))))
     letter, sign = (char_class(re.findall(p, known)) for p in (r"[^\W\d_]", r"[^\s\w]|_"))
     return re.compile(rf" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?[{sign}]+|\s+(?!\S)|\s+")
 
 
+def _kinds() -> np.ndarray:
+    """By code point, below U+2060: the kind of a KNOWN character, 0 for others."""
+    kinds = np.zeros(0x2060, np.uint8)
+    for kind, pattern in ((_LETTER, r"[^\W\d_]"), (_DIGIT, r"\d"), (_SIGN, r"[^\s\w]|_"), (_WHITE, r"\s"), (_BLANK, " ")):
+        kinds[[c for c in range(0x2060) if re.fullmatch(f"[{KNOWN}]", chr(c)) and re.fullmatch(pattern, chr(c))]] = kind
+    return kinds
+
+
+_LETTER, _DIGIT, _SIGN, _WHITE, _BLANK = range(1, 6)
+_KINDS = _kinds()
+_OF_BYTE = np.concatenate([_KINDS[:128], np.zeros(128, np.uint8)])
+
+
+def byte_kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 belongs to; 0 for characters that aren't KNOWN."""
+    kinds = _OF_BYTE[data]
+    lead = np.flatnonzero(data >= 0xC2)
+    if len(lead):
+        b = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.uint16, copy=False)
+        first, second, third = b[lead], b[lead + 1], b[lead + 2]
+        two = (first < 0xE0) & (second & 0xC0 == 0x80)
+        at = lead[two]
+        kinds[at] = kinds[at + 1] = _KINDS[(first[two] & 0x1F) << 6 | second[two] & 0x3F]
+        # Of the characters of three bytes, the KNOWN ones begin with this byte.
+        three = (first == 0xE2) & (second & 0xC0 == 0x80) & (third & 0xC0 == 0x80)
+        at, code = lead[three], 0x2000 | (second[three] & 0x3F) << 6 | third[three] & 0x3F
+        kinds[at] = kinds[at + 1] = kinds[at + 2] = np.where(code < len(_KINDS), _KINDS[np.minimum(code, len(_KINDS) - 1)], 0)
+    return kinds
+
+
+def word_starts(data: np.ndarray, kinds: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the words of WORDS begin in texts of KNOWN characters, which stand one behind the other in ``data`` as UTF-8.
+
+    ``texts`` are the places where they begin. A word is a run of letters, digits or signs with the one blank before it. Of
+    white space, what doesn't go with the next word is a word, and its last character another one if a word follows. An
+    apostrophe that begins a word takes the letters of a short form with it.
+    """
+    n = len(data)
+    first = np.zeros(n + 3, bool)
+    first[texts] = True
+    white = kinds >= _WHITE
+    change = np.ones(n, bool)
+    # All white space is one kind of run.
+    change[1:] = np.where(white[1:], ~white[:-1], kinds[1:] != kinds[:-1])
+    starts = np.concatenate([change, np.zeros(3, bool)]) | first
+    after = np.flatnonzero(change[1:] & ~white[1:] & white[:-1] & ~first[1:n]) + 1
+    starts[after] = kinds[after - 1] != _BLANK
+    starts[after - 1 - (data[after - 1] & 0xC0 == 0x80)] = True
+    mark = np.flatnonzero(starts[:n] & (data == ord("'")))
+    if len(mark):
+        b = np.concatenate([data, np.zeros(2, np.uint8)])
+        one, two = np.where(first[mark + 1], 0, b[mark + 1]), np.where(first[mark + 1] | first[mark + 2], 0, b[mark + 2])
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        double = np.isin(one.astype(np.int32) << 8 | two, [int.from_bytes(s) for s in (b"re", b"ve", b"ll")])
+        held, size = mark[short | double], np.where(double, 3, 2)[short | double]
+        starts[held + 1] = False
+        starts[held + size] = True
+    return np.flatnonzero(starts[:n])
+
+
 def pack_block(ids: np.ndarray) -> bytes:
     """One block: ids as an array of unsigned 32-bit numbers, 1 to BLOCK of them."""
     least = int(ids.min())
@@ -192,7 +254,8 @@ class WordEncoder(dict):
     """The library's ids of whole texts, with a memory of words: word to ids as unsigned 32-bit numbers of the machine.
 
     The library cuts a text into words by a pattern and encodes each word for itself, so the ids of a text are those of its
-    words in order. Here the same pattern cuts, and the library's model encodes the words that aren't remembered.
+    words in order. Here many texts are cut at once, where the same pattern cuts; each of their different words is looked
+    up once, and the library's model encodes those that aren't remembered.
     Texts with other characters than KNOWN ones, whose class may depend on the version of Unicode's tables, or with
     strings that the library never cuts, are given to the library whole.
     """
@@ -207,13 +270,11 @@ class WordEncoder(dict):
         self.tokenize = self.library.model.tokenize
         self.letters = dict(enumerate(byte_letters()))
         self.older: dict[str, bytes] = {}
-        self.known = re.compile(f"[{KNOWN}]*")
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.never_cut = re.compile("|".join(special) or r"(?!)")
+        special = [re.escape(t.content.encode()) for t in self.library.get_added_tokens_decoder().values()]
+        self.never_cut = re.compile(b"|".join(special) or rb"(?!)")
         file = json.loads(file_text)
         first = file["pre_tokenizer"] or {}
-        usual = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not file["normalizer"]
-        self.words = known_words().findall if usual else None
+        self.usual = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not file["normalizer"]
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
@@ -225,18 +286,52 @@ class WordEncoder(dict):
         self[word] = ids
         return ids
 
-    def _whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> np.ndarray:
         parts = (self.library.encode(p, add_special_tokens=False).ids for p in _pieces(text))
-        return b"".join(array("I", ids).tobytes() for ids in parts)
+        return np.concatenate([np.array(ids, np.uint32) for ids in parts])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as unsigned 32-bit numbers of the machine."""
-        if self.words is None or not self.known.fullmatch(text) or self.never_cut.search(text):
-            return self._whole(text)
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, as unsigned 32-bit numbers of the machine."""
+        if not self.usual:
+            return [self._whole(t) for t in texts]
+        data, kinds, ends = _bytes(texts)
+        for match in self.never_cut.finditer(data):
+            # It may seem to begin in a text and end in a later one: these go to the library too.
+            kinds[match.start() : match.end()] = 0
+        odd = set(np.searchsorted(ends, np.flatnonzero(kinds == 0), "right").tolist())
+        if not odd:
+            return self._by_words(data, kinds, ends)
+        rest = iter(self._by_words(*_bytes([t for k, t in enumerate(texts) if k not in odd])))
+        return [self._whole(t) if k in odd else next(rest) for k, t in enumerate(texts)]
+
+    def _by_words(self, data: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        if not len(data):
+            return [np.zeros(0, np.uint32)] * len(ends)
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, self.words(text)))
+        starts = word_starts(data, kinds, np.concatenate([[0], ends[:-1]]))
+        places = np.append(starts, len(data)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
+        found = list(map(self.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        sizes, which = np.fromiter(map(len, found), np.int64, len(found)) // 4, words.indices.to_numpy()
+        n = sizes[which]
+        after = np.cumsum(n)
+        # Place in the words' ids of each id of the texts.
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - after + n, n) + np.arange(after[-1])
+        ids = np.frombuffer(b"".join(found), np.uint32)[place]
+        return np.split(ids, np.append(0, after)[np.searchsorted(starts, ends[:-1])])
+
+
+def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as UTF-8, one behind the other, the kind of each byte's character, and where each text ends."""
+    parts = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    return data, byte_kinds(data), np.cumsum([len(p) for p in parts], dtype=np.int64)
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -248,12 +343,32 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _together(texts: Iterable[str]) -> Iterator[list[tuple[str, bool]]]:
+    """Parts of texts, of TOGETHER_CHARS in all: (part, is it its text's last one?)."""
+    group, chars = [], 0
+    for text in texts:
+        left = len(text)
+        for part in _pieces(text):
+            left -= len(part)
+            group.append((part, not left))
+            chars += len(part)
+            if chars >= TOGETHER_CHARS:
+                yield group
+                group, chars = [], 0
+    if group:
+        yield group
+
+
 def encoded(tokenizer_text: str, texts: Iterable[str], end_id: int) -> Iterator[np.ndarray]:
     """The ids of each text, and ``end_id`` after them."""
     encoder = kept_in_process(("token files", hash(tokenizer_text)), lambda: WordEncoder(tokenizer_text))
-    end = array("I", [end_id]).tobytes()
-    for text in texts:
-        yield np.frombuffer(b"".join([*map(encoder.encode, _pieces(text)), end]), np.uint32)
+    held, end = [], np.array([end_id], np.uint32)
+    for group in _together(texts):
+        for (_, last), ids in zip(group, encoder.encode_all([part for part, _ in group]), strict=True):
+            held.append(ids)
+            if last:
+                yield np.concatenate([*held, end])
+                held = []
 
 
 def write_token_files(

@@ -1,6 +1,8 @@
 """Files of token ids: exact round trips, random access, and the library's own ids."""
 
 import io
+import itertools
+import json
 import os
 import re
 import struct
@@ -86,6 +88,58 @@ def test_words_are_those_of_the_public_pattern():
         assert np.frombuffer(encoder.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_are_cut_together():
+    """Words and ids of many texts at once: no word spans two texts, and odd texts are the library's."""
+    theirs, rng = regex.compile(public_tokenizers.PATTERN), np.random.default_rng(2)
+    small = np.array(list(" ''  \n\t\r\xa0stmdrevlabX1_9.!é’я—"))
+    library, encoder = Tokenizer.from_file(PATH), token_files.WordEncoder(open(PATH, encoding="utf-8").read())
+    known = re.findall(f"[{token_files.KNOWN}]", "".join(map(chr, range(0x2060))))
+    groups = [["", "it'", "s ", "", " x", "'re's", "'", "ll", "a ", "\n b", ""], [""], [], [f"{c}'s{c} {c}  {c}1\n" for c in known]]
+    groups += [["".join(rng.choice(small, rng.integers(0, 14))) for _ in range(5)] for _ in range(1000)]
+    for texts in groups:
+        data, kinds, ends = token_files._bytes(texts)
+        assert kinds.all()
+        if len(data):
+            at = [*token_files.word_starts(data, kinds, np.append(0, ends[:-1])).tolist(), len(data)]
+            assert [data.tobytes()[a:b].decode() for a, b in itertools.pairwise(at)] == [w for t in texts for w in theirs.findall(t)], texts
+    for texts in [*groups[:100], ["a b", "日本 a", "", "<|endoftext|>", "<|endof", "text|> b", "\u2028", "½ \x1c", "😀 a", "b a"]]:
+        got = [ids.tolist() for ids in encoder.encode_all(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts], texts
+
+
+def test_strings_never_cut_end_with_their_text():
+    file = json.load(open(PATH, encoding="utf-8"))
+    file["added_tokens"].append({**file["added_tokens"][0], "id": len(file["model"]["vocab"]), "content": "aa"})
+    text = json.dumps(file)
+    library, encoder = Tokenizer.from_str(text), token_files.WordEncoder(text)
+    for texts in (["xa", "aa b", "a"], ["a", "", "a", "aab"], ["b", "aa"], ["xa", "ab", "baab", "c"]):
+        assert [ids.tolist() for ids in encoder.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_bytes_that_are_no_known_characters():
+    for data in (b"a\xa0", b"\xc3a", b"\xc0\xa0", b"\xe2\x80a", b"\xe3\x80\x80", b"\xf0\x9f\x98\x80", b"\x1c", b"a\xe2", b"\xc3"):
+        assert (token_files.byte_kinds(np.frombuffer(data, np.uint8)) == 0).any(), data
+    assert token_files.byte_kinds(np.frombuffer(" aé’\xa0".encode(), np.uint8)).tolist() == [5, 1, 1, 1, 3, 3, 3, 4, 4]
+
+
+def test_words_are_looked_up_once_for_many_texts(monkeypatch):
+    asked = []
+    ids_of = lambda self, word: asked.append(word) or self.get(word) or self.__missing__(word)
+    monkeypatch.setattr(token_files.WordEncoder, "__getitem__", ids_of, raising=False)
+    texts = ["the same few words, again and again"] * 1000
+    ids = np.array([*Tokenizer.from_file(PATH).encode(texts[0], add_special_tokens=False).ids, 7])
+    assert all((got == ids).all() for got in token_files.encoded(open(PATH, encoding="utf-8").read(), texts, 7))
+    assert len(asked) < 20
+
+
+def test_long_texts_are_grouped_by_size():
+    long = "a few words " * 400_000
+    groups = list(token_files._together(["x", "", long, "y", ""]))
+    assert len(groups) > 1 and all(sum(len(p) for p, _ in g[:-1]) < token_files.TOGETHER_CHARS for g in groups)
+    parts = [p for g in groups for p in g]
+    assert "".join(p for p, _ in parts) == "x" + long + "y" and sum(last for _, last in parts) == 5
+
+
 def expected(rows):
     library, start, out = Tokenizer.from_file(PATH), 0, []
     for doc, text in rows:
