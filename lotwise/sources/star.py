@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lotwise.sources.schemas import LOOKUPS
-from lotwise.sources.staging import shared_folder
+from lotwise.sources.staging import give_back, shared_folder
 from lotwise.sources.star_recipes import RECIPES
 from lotwise.sources.tables import Tables
 
@@ -85,6 +85,9 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, T.StructTy
             rows = rows.repartition(max(_splits(spark, sf_dir), spark.sparkContext.defaultParallelism))
         rows.write.mode("overwrite").parquet(path)
         _written[key] = (path, rows.schema)
+        if name in LARGE:
+            del df, rows
+            give_back(spark)
     return _written[key]
 
 
