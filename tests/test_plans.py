@@ -39,6 +39,18 @@ def test_load_history_is_cut_at_the_scan(star):
     assert "Or(IsNull(removal_time),GreaterThanOrEqual(removal_time,2025-01-08T00:00))" in text
 
 
+def test_matched_loads_are_dealt_by_unit_once(star, spark):
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(cons.loaded_positions(star, cons.wip_steps(star, dt.date(2025, 1, 8), dt.date(2025, 1, 9))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    dealt = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning(wip_id")]
+    assert any("REPARTITION_BY_COL" in line for line in dealt)
+    assert not any(f", {other}#" in line for line in dealt for other in ("crd", "run_date", "serial_number"))
+
+
 def test_block_join_compares_times_at_edges_only(star, spark):
     keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
