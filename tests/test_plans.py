@@ -51,6 +51,13 @@ def test_matched_loads_are_dealt_by_unit_once(star, spark):
     assert not any(f", {other}#" in line for line in dealt for other in ("crd", "run_date", "serial_number"))
 
 
+def test_history_moves_whole_rows_for_the_order_only(spark):
+    for name in ("history_all", "history_analysis_only", "history_repair_only"):
+        text = plan(entry.queries()[name](spark, SMALL))
+        assert "rangepartitioning(test_start_date_time" in text
+        assert "hashpartitioning" not in text and "Join" not in text
+
+
 def test_block_join_compares_times_at_edges_only(star, spark):
     keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
